@@ -1,0 +1 @@
+"""No streaming operators: every input is bounded and a refresh recomputes it in full."""
