@@ -101,11 +101,12 @@ def _review_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _through_csv(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
-    """Write a table the way it is delivered and load it back."""
-    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    """Write a table the way it is delivered and import it."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    path = f"{folder}/delivered"
     writer = df.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
     writer.csv(path, header=True, quote='"', escape='"', emptyValue='""', nullValue="")
-    return csv.load_table(spark, table, path)
+    return csv.import_tables(spark, {table: path}, f"{folder}/imported")[table]
 
 
 def _load(table: str) -> Query:

@@ -1,8 +1,9 @@
-"""The whole batch: load, clean, check, compute, publish."""
+"""The whole batch: import, check, clean, compute, publish."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from buyerlens.operators.cleaning import (
 )
 from buyerlens.operators.integrity import require_integrity
 from buyerlens.plans.features import AS_OF, customer_features
-from buyerlens.sources.csv import load_tables
+from buyerlens.sources.csv import import_tables
 from buyerlens.sources.versions import VersionedTable
 
 VIEW = "v_customer_features"
@@ -59,9 +60,10 @@ def build(
 ) -> DataFrame:
     """CSV files in, the current version of the features out. Also the way to refresh.
 
-    ``strict`` checks every declared rule on the loaded tables first.
+    The files are imported below the store first. ``strict`` then checks every
+    declared rule on the imported tables.
     """
-    tables = load_tables(spark, dict(csv_paths))
+    tables = import_tables(spark, csv_paths, f"{store.root}/import-{uuid.uuid4().hex}")
     if strict:
         require_integrity(tables)
     store.publish(features_of(clean_tables(spark, tables), as_of))

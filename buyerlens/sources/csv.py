@@ -1,11 +1,15 @@
 """Load the delivered CSV files with declared schemas.
 
-A file either loads whole or fails: a value that does not fit its column, or a
-row with the wrong number of fields, stops the job instead of turning into NULL.
+A value that does not fit its column, or a row with the wrong number of fields,
+stops the job instead of turning into NULL. Spark converts only the columns a
+query reads, so ``import_tables`` is what checks a file whole: it writes every
+column to parquet, which the plans then scan by column and more than once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from buyerlens.operators.cleaning import strip_bom
@@ -14,15 +18,12 @@ from buyerlens.sources.schemas import ORDER_REVIEWS, TABLES, TRANSLATIONS, Table
 
 # Quotes inside a quoted field are doubled. An unquoted empty field is NULL and
 # a quoted one an empty string, so the NULL marker is a character no file holds.
-# Without column pruning a count or a narrow query still parses every field, so
-# a bad value is found whatever the query reads.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
     "nullValue": "\u0000",
     "mode": "FAILFAST",
-    "columnPruning": "false",
     "enforceSchema": "true",
 }
 
@@ -54,11 +55,21 @@ def load_table(spark: SparkSession, name: str, path: str | list[str], multiline:
     return df
 
 
-def load_tables(spark: SparkSession, paths: dict[str, str | list[str]]) -> dict[str, DataFrame]:
-    """Every table named in ``paths`` (table name to CSV path, folder or glob)."""
+def load_tables(spark: SparkSession, paths: Mapping[str, str | list[str]]) -> dict[str, DataFrame]:
+    """Every table named in ``paths`` (table name to CSV path, folder or glob), read when used."""
     return {name: load_table(spark, name, path) for name, path in paths.items()}
 
 
+def import_tables(spark: SparkSession, paths: Mapping[str, str | list[str]], folder: str) -> dict[str, DataFrame]:
+    """Load every table into parquet under a new folder; a bad file stops the import."""
+    imported = {}
+    for name, df in load_tables(spark, paths).items():
+        target = f"{folder}/{name}"
+        df.write.parquet(target)
+        imported[name] = spark.read.schema(TABLES[name].schema).parquet(target)
+    return imported
+
+
 def latest_reviews(reviews: DataFrame) -> DataFrame:
     """The newest version of each review; remaining ties go to the later answer, then the lower order id."""
     return keep_latest(
