@@ -163,12 +163,19 @@ def features_diversity(
 ) -> DataFrame:
     """Distinct product categories bought.
 
-    The distinct count is spread over (person, category) before it is reduced
-    to the person. A product or order that holds a large share of the items is
-    split by adaptive execution: nothing after either join needs its layout.
+    Categories are made distinct per order first: an order with very many items
+    then reaches the join as a few rows. Its items would compress so well that
+    adaptive execution, which goes by bytes, might not see it as skewed. The
+    rows of one product or account differ in the order id, so there it does.
+    The count is spread over (person, category) before it is reduced to the person.
     """
     categories = products.select("product_id", "product_category_name")
-    bought = order_items.select("order_id", "product_id").join(categories, "product_id")
+    bought = (
+        order_items.select("order_id", "product_id")
+        .join(categories, "product_id")
+        .select("order_id", "product_category_name")
+        .distinct()
+    )
     return (
         delivered_orders(customers, orders)
         .join(bought, "order_id")
