@@ -46,9 +46,8 @@ FEATURE_COLUMNS = [
 def delivered_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Delivered orders with the person behind them."""
     return (
-        orders.where(F.col("order_status") == DELIVERED)
-        .select("order_id", "customer_id", _STAMP)
-        .join(customers.select("customer_id", _CUSTOMER), "customer_id")
+        orders.where(f"order_status = '{DELIVERED}'")
+        .join(customers, "customer_id")
         .select(_CUSTOMER, "order_id", _STAMP)
     )
 
@@ -62,8 +61,8 @@ def _order_cents(order_items: DataFrame) -> DataFrame:
     """
     amount = f"CAST(price AS {_MONEY}) + CAST(freight_value AS {_MONEY})"
     return order_items.groupBy("order_id").agg(
-        F.expr(f"SUM({cents(amount)})").alias("order_cents"),
-        F.count("order_item_id").alias("item_count"),
+        F.expr(f"SUM({cents(amount)}) AS order_cents"),
+        F.expr("COUNT(order_item_id) AS item_count"),
     )
 
 
@@ -83,9 +82,9 @@ def features_rfm(amounts: DataFrame, as_of: dt.date = AS_OF) -> DataFrame:
     return (
         amounts.groupBy(_CUSTOMER)
         .agg(
-            F.max(_STAMP).alias("last_purchase"),
-            F.count(F.lit(1)).alias("frequency"),
-            F.expr(f"SUM({cents('order_amount')})").alias("cents"),
+            F.expr(f"MAX({_STAMP}) AS last_purchase"),
+            F.expr("COUNT(*) AS frequency"),
+            F.expr(f"SUM({cents('order_amount')}) AS cents"),
         )
         .selectExpr(
             _CUSTOMER,
@@ -102,9 +101,8 @@ def features_trend(amounts: DataFrame) -> DataFrame:
     return (
         amounts.groupBy(_CUSTOMER)
         .agg(
-            F.expr(f"{cents(f'MAX_BY(order_amount, {_MOMENT})')} - {cents(f'MIN_BY(order_amount, {_MOMENT})')}")
-            .alias("change"),
-            F.expr("COUNT(*) - 1").alias("steps"),
+            F.expr(f"{cents(f'MAX_BY(order_amount, {_MOMENT}) - MIN_BY(order_amount, {_MOMENT})')} AS change"),
+            F.expr("COUNT(*) - 1 AS steps"),
         )
         .where("steps > 0")
         .selectExpr(_CUSTOMER, f"{ratio('change', 'steps', 2, scale=2)} AS basket_trend")
@@ -116,8 +114,8 @@ def features_gap(amounts: DataFrame) -> DataFrame:
     return (
         amounts.groupBy(_CUSTOMER)
         .agg(
-            F.expr(_days_between(f"MIN({_STAMP})", f"MAX({_STAMP})")).alias("days"),
-            F.expr("COUNT(*) - 1").alias("steps"),
+            F.expr(f"{_days_between(f'MIN({_STAMP})', f'MAX({_STAMP})')} AS days"),
+            F.expr("COUNT(*) - 1 AS steps"),
         )
         .where("steps > 0")
         .selectExpr(_CUSTOMER, f"{ratio('days', 'steps', 1)} AS avg_days_between_orders")
@@ -131,9 +129,9 @@ def _days_between(start: str, end: str) -> str:
 def review_totals(order_reviews: DataFrame) -> DataFrame:
     """Scores summed per order; an order may have several reviews."""
     return order_reviews.groupBy("order_id").agg(
-        F.sum("review_score").alias("score_sum"),
-        F.count("review_score").alias("score_count"),
-        F.expr(f"COUNT_IF(review_score <= {NEGATIVE_SCORE})").alias("negative_count"),
+        F.expr("SUM(review_score) AS score_sum"),
+        F.expr("COUNT(review_score) AS score_count"),
+        F.expr(f"COUNT_IF(review_score <= {NEGATIVE_SCORE}) AS negative_count"),
     )
 
 
@@ -155,7 +153,7 @@ def features_satisfaction(customers: DataFrame, orders: DataFrame, order_reviews
 
 
 def _review_sums() -> list[Column]:
-    return [F.sum(name).alias(name) for name in ("score_sum", "score_count", "negative_count")]
+    return [F.expr(f"SUM({name}) AS {name}") for name in ("score_sum", "score_count", "negative_count")]
 
 
 def features_diversity(
@@ -169,18 +167,12 @@ def features_diversity(
     rows of one product or account differ in the order id, so there it does.
     The count is spread over (person, category) before it is reduced to the person.
     """
-    categories = products.select("product_id", "product_category_name")
-    bought = (
-        order_items.select("order_id", "product_id")
-        .join(categories, "product_id")
-        .select("order_id", "product_category_name")
-        .distinct()
-    )
+    bought = order_items.join(products, "product_id").select("order_id", "product_category_name").distinct()
     return (
         delivered_orders(customers, orders)
         .join(bought, "order_id")
         .groupBy(_CUSTOMER)
-        .agg(F.count_distinct("product_category_name").alias("category_diversity"))
+        .agg(F.expr("COUNT(DISTINCT product_category_name) AS category_diversity"))
     )
 
 
@@ -201,12 +193,12 @@ def _spending_and_reviews(
     return (
         per_order.groupBy(_CUSTOMER)
         .agg(
-            F.count("item_count").alias("frequency"),
-            F.sum("order_cents").alias("cents"),
-            F.expr(f"MAX({_STAMP}) {with_items}").alias("last_purchase"),
-            F.expr(f"MIN({_STAMP}) {with_items}").alias("first_purchase"),
-            F.expr(f"MAX_BY(order_cents, {_MOMENT}) {with_items}").alias("last_cents"),
-            F.expr(f"MIN_BY(order_cents, {_MOMENT}) {with_items}").alias("first_cents"),
+            F.expr("COUNT(item_count) AS frequency"),
+            F.expr("SUM(order_cents) AS cents"),
+            F.expr(f"MAX({_STAMP}) {with_items} AS last_purchase"),
+            F.expr(f"MIN({_STAMP}) {with_items} AS first_purchase"),
+            F.expr(f"MAX_BY(order_cents, {_MOMENT}) {with_items} AS last_cents"),
+            F.expr(f"MIN_BY(order_cents, {_MOMENT}) {with_items} AS first_cents"),
             *_review_sums(),
         )
         .where("frequency > 0")
