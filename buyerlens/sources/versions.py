@@ -8,17 +8,19 @@ or the new one, whole, while a refresh runs. Nothing is overwritten.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 _MANIFEST = T.StructType([
     T.StructField("published_at", T.TimestampNTZType()),
     T.StructField("folder", T.StringType()),
+    T.StructField("schema", T.StringType()),
 ])
 
 
@@ -48,20 +50,25 @@ class VersionedTable:
             .write.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
             .parquet(folder)
         )
-        entry = self.spark.createDataFrame([(now, folder)], _MANIFEST)
+        entry = self.spark.createDataFrame([(now, folder, df.schema.json())], _MANIFEST)
         entry.coalesce(1).write.mode("append").parquet(self._manifest)
         return folder
 
-    def current_folder(self) -> str:
+    def _current(self) -> Row:
         try:
             published = self.spark.read.schema(_MANIFEST).parquet(self._manifest)
-            newest = published.agg(F.max_by("folder", F.struct("published_at", "folder")).alias("folder")).first()
+            return published.orderBy(F.desc("published_at"), F.desc("folder")).first()
         except AnalysisException as missing:
             raise LookupError(f"nothing published under {self.root}") from missing
-        return newest.folder
+
+    def current_folder(self) -> str:
+        return self._current().folder
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.current_folder())
+        """The current version. The manifest keeps its schema, so no file is opened to find it."""
+        current = self._current()
+        schema = T.StructType.fromJson(json.loads(current.schema))
+        return self.spark.read.schema(schema).parquet(current.folder)
 
     def lookup(self, value: object) -> DataFrame:
         """The row of one key."""
