@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,14 +19,16 @@ RECENCY_BEYOND = "> 365j"
 FREQUENCY_CAP = 5
 
 
-def recency_bucket(days: Column) -> Column:
-    first, *others = RECENCY_EDGES
-    cases = reduce(
-        lambda case, edge: case.when(days <= edge[0], edge[1]),
-        others,
-        F.when(days <= first[0], first[1]),
-    )
-    return cases.otherwise(RECENCY_BEYOND)
+def recency_bucket(
+    days: Column,
+    edges: Sequence[tuple[int, str]] = tuple(RECENCY_EDGES),
+    beyond: str = RECENCY_BEYOND,
+) -> Column:
+    """Label of the first edge not exceeded; ``edges`` ascend."""
+    label = F.lit(beyond)
+    for edge, name in reversed(edges):
+        label = F.when(days <= edge, name).otherwise(label)
+    return label
 
 
 def frequency_bucket(orders: Column, cap: int = FREQUENCY_CAP) -> Column:

@@ -126,12 +126,12 @@ def _days_between(start: str, end: str) -> str:
     return f"DATEDIFF(CAST({end} AS DATE), CAST({start} AS DATE))"
 
 
-def review_totals(order_reviews: DataFrame) -> DataFrame:
+def review_totals(order_reviews: DataFrame, negative_score: int = NEGATIVE_SCORE) -> DataFrame:
     """Scores summed per order; an order may have several reviews."""
     return order_reviews.groupBy("order_id").agg(
         F.expr("SUM(review_score) AS score_sum"),
         F.expr("COUNT(review_score) AS score_count"),
-        F.expr(f"COUNT_IF(review_score <= {NEGATIVE_SCORE}) AS negative_count"),
+        F.expr(f"COUNT_IF(review_score <= {negative_score}) AS negative_count"),
     )
 
 
@@ -141,11 +141,13 @@ _SATISFACTION = [
 ]
 
 
-def features_satisfaction(customers: DataFrame, orders: DataFrame, order_reviews: DataFrame) -> DataFrame:
+def features_satisfaction(
+    customers: DataFrame, orders: DataFrame, order_reviews: DataFrame, negative_score: int = NEGATIVE_SCORE
+) -> DataFrame:
     """Mean score and share of negative scores, over delivered orders with or without items."""
     return (
         delivered_orders(customers, orders)
-        .join(review_totals(order_reviews), "order_id", "left")
+        .join(review_totals(order_reviews, negative_score), "order_id", "left")
         .groupBy(_CUSTOMER)
         .agg(*_review_sums())
         .selectExpr(_CUSTOMER, *_SATISFACTION)
@@ -177,7 +179,12 @@ def features_diversity(
 
 
 def _spending_and_reviews(
-    customers: DataFrame, orders: DataFrame, order_items: DataFrame, order_reviews: DataFrame, as_of: dt.date
+    customers: DataFrame,
+    orders: DataFrame,
+    order_items: DataFrame,
+    order_reviews: DataFrame,
+    as_of: dt.date,
+    negative_score: int,
 ) -> DataFrame:
     """All features but the diversity, in one aggregation per person.
 
@@ -187,7 +194,7 @@ def _spending_and_reviews(
     per_order = (
         delivered_orders(customers, orders)
         .join(_order_cents(order_items), "order_id", "left")
-        .join(review_totals(order_reviews), "order_id", "left")
+        .join(review_totals(order_reviews, negative_score), "order_id", "left")
     )
     with_items = "FILTER (WHERE item_count IS NOT NULL)"
     return (
@@ -223,13 +230,14 @@ def customer_features(
     order_reviews: DataFrame,
     products: DataFrame,
     as_of: dt.date = AS_OF,
+    negative_score: int = NEGATIVE_SCORE,
 ) -> DataFrame:
     """All nine features; equals the left join of the separate feature tables.
 
     Both sides come out of their aggregations partitioned by person, so the
     join adds no shuffle.
     """
-    spending = _spending_and_reviews(customers, orders, order_items, order_reviews, as_of)
+    spending = _spending_and_reviews(customers, orders, order_items, order_reviews, as_of, negative_score)
     diversity = features_diversity(customers, orders, order_items, products)
     return spending.join(diversity, _CUSTOMER, "left").select(*FEATURE_COLUMNS)
 

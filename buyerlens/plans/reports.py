@@ -5,12 +5,20 @@ Thresholds are keyword arguments; their defaults are fixed values.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.functions.buckets import FREQUENCY_CAP, bin_start, frequency_bucket, recency_bucket
+from buyerlens.functions.buckets import (
+    FREQUENCY_CAP,
+    RECENCY_BEYOND,
+    RECENCY_EDGES,
+    bin_start,
+    frequency_bucket,
+    recency_bucket,
+)
 from buyerlens.functions.numbers import cents, percentage, ratio
 
 _CUSTOMER = "customer_unique_id"
@@ -50,9 +58,11 @@ def _distribution(df: DataFrame, label: Column, name: str, order: Column) -> Dat
     )
 
 
-def recency_buckets(features: DataFrame) -> DataFrame:
+def recency_buckets(
+    features: DataFrame, edges: Sequence[tuple[int, str]] = tuple(RECENCY_EDGES), beyond: str = RECENCY_BEYOND
+) -> DataFrame:
     days = F.col("recency_days")
-    return _distribution(features, recency_bucket(days), "bucket", days)
+    return _distribution(features, recency_bucket(days, edges, beyond), "bucket", days)
 
 
 def frequency_buckets(features: DataFrame, cap: int = FREQUENCY_CAP) -> DataFrame:

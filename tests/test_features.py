@@ -86,6 +86,15 @@ def test_every_review_of_an_order_counts(shop):
     assert row["total_spent"] == Decimal("10.00")
 
 
+def test_limit_of_a_negative_score_is_a_parameter(shop):
+    shop.customer("a", "P").product("x", "toys")
+    shop.order("o", "a", "2018-01-01T00:00:00", items=[("x", "5", "0")], scores=[1, 3, 5])
+    t = shop.tables()
+    frames = [t[n] for n in ("customers", "orders", "order_items", "order_reviews", "products")]
+    row = plans.customer_features(*frames, negative_score=3).first()
+    assert row.pct_negative_reviews == Decimal("66.7")
+
+
 def test_other_states_of_an_order_are_left_out(shop):
     shop.customer("a", "P").product("x", "toys")
     shop.order("o1", "a", "2018-01-01T00:00:00", items=[("x", "5", "0")])

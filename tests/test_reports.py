@@ -45,6 +45,11 @@ def test_recency_edges_are_inclusive_and_ordered(sample):
     ]
 
 
+def test_edges_are_parameters(sample):
+    assert pairs(reports.recency_buckets(sample, edges=[(100, "recent")], beyond="old")) == [("recent", 3), ("old", 4)]
+    assert pairs(reports.frequency_buckets(sample, cap=2)) == [("1", 3), ("2+", 4)]
+
+
 def test_frequency_is_capped(sample):
     assert pairs(reports.frequency_buckets(sample)) == [("1", 3), ("2", 1), ("4", 1), ("5+", 2)]
 
