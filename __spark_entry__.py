@@ -23,10 +23,10 @@ from buyerlens.operators.keep_latest import keep_latest
 from buyerlens.operators.sequence import order_sequence
 from buyerlens.plans import features as plans
 from buyerlens.plans import quality, reports
-from buyerlens.plans.build import clean_tables, feature_store, features_of, publish_view
+from buyerlens.plans.build import FEATURE_TABLES, clean_tables, feature_store, features_of, publish_view
 from buyerlens.session import shared_folder
 from buyerlens.sources import csv
-from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, standin_tables
+from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, standin_table, standin_tables
 from oracle_queries import ORACLES
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -47,12 +47,25 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*(convert(f) for f in df.schema))
 
 
-def _raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return standin_tables(spark, folder)
+class _Tables(dict):
+    """Stand-in tables, each built when a query asks for it."""
 
+    def __init__(self, spark: SparkSession, folder: str, cleaned: bool = False):
+        super().__init__()
+        self._build = lambda name: standin_table(spark, folder, name)
+        self._finish = (lambda t: clean_tables(spark, t)) if cleaned else (lambda t: t)
 
-def _clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return clean_tables(spark, _raw(spark, folder))
+    def __missing__(self, name: str) -> DataFrame:
+        self.update(self._finish({name: self._build(name)}))
+        return self[name]
+
+
+def _raw(spark: SparkSession, folder: str) -> _Tables:
+    return _Tables(spark, folder)
+
+
+def _clean(spark: SparkSession, folder: str) -> _Tables:
+    return _Tables(spark, folder, cleaned=True)
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +152,7 @@ def _extended_translations(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fan_out(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Features and customers when each person holds three accounts."""
-    tables = clean_tables(spark, standin_tables(spark, folder, accounts_per_person=3))
+    tables = clean_tables(spark, standin_tables(spark, folder, FEATURE_TABLES, accounts_per_person=3))
     return features_of(tables, AS_OF), tables["customers"]
 
 
@@ -148,14 +161,20 @@ def _view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT * FROM v_customer_features")
 
 
-def _raw_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
-    """Queries over the tables as delivered."""
+def _whole_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    """Queries over all tables as delivered."""
     return {
         "row_counts": quality.row_counts,
         "pk_violations": integrity.key_violations,
         "fk_orphans": integrity.orphan_counts,
         "null_and_length_violations": integrity.null_and_length_violations,
         "check_violations": integrity.check_violations,
+    }
+
+
+def _raw_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    """Queries over the tables as delivered."""
+    return {
         "impute_delivery_date": lambda t: cleaning.impute_delivery_date(t["orders"]),
         "delivered_without_date": lambda t: quality.delivered_without_date(t["orders"]),
         "fill_category": lambda t: cleaning.fill_category(t["products"]),
@@ -224,6 +243,8 @@ def queries() -> dict[str, Query]:
     }
     for table in ("customers", "sellers", "products", "orders", "order_items", "order_payments"):
         found[f"load_{table}"] = _load(table)
+    for name, query in _whole_queries().items():
+        found[name] = lambda s, d, query=query: query(standin_tables(s, d))
     for name, query in _raw_queries().items():
         found[name] = lambda s, d, query=query: query(_raw(s, d))
     for name, query in _clean_queries().items():

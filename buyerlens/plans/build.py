@@ -20,23 +20,22 @@ from buyerlens.sources.csv import import_tables
 from buyerlens.sources.versions import VersionedTable
 
 VIEW = "v_customer_features"
+FEATURE_TABLES = ("customers", "orders", "order_items", "order_reviews", "products")
 
 
 def clean_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every cleaning step over a loaded set of tables."""
-    cleaned = dict(tables)
-    cleaned["orders"] = impute_delivery_date(tables["orders"])
-    cleaned["products"] = fill_category(tables["products"])
-    cleaned["product_category_translation"] = add_missing_translations(
-        tables["product_category_translation"], extra_translations(spark)
-    )
-    return cleaned
+    """Every cleaning step over the loaded tables it applies to."""
+    steps = {
+        "orders": impute_delivery_date,
+        "products": fill_category,
+        "product_category_translation": lambda df: add_missing_translations(df, extra_translations(spark)),
+    }
+    return {name: steps[name](df) if name in steps else df for name, df in tables.items()}
 
 
 def features_of(tables: Mapping[str, DataFrame], as_of: dt.date = AS_OF) -> DataFrame:
     """``customer_features`` over a set of tables."""
-    names = ("customers", "orders", "order_items", "order_reviews", "products")
-    return customer_features(*(tables[n] for n in names), as_of=as_of)
+    return customer_features(*(tables[name] for name in FEATURE_TABLES), as_of=as_of)
 
 
 def publish_view(tables: Mapping[str, DataFrame], as_of: dt.date = AS_OF, name: str = VIEW) -> DataFrame:

@@ -7,12 +7,11 @@ derived row by row from the nearest one. Keys keep their numeric type.
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from buyerlens.sources.schemas import MONEY
+from buyerlens.sources.schemas import MONEY, TABLES
 
 # The day of the last order in the test tables, and limits that suit their prices.
 AS_OF = dt.date(2001, 8, 1)
@@ -21,104 +20,102 @@ BASKET_CAP = 250_000
 BASKET_BIN = 10_000
 
 
-def _money(column: str) -> Column:
+def _money(column: str) -> str:
     """A double with two decimals as money, through whole cents: the direct cast goes through text."""
-    cents = F.rint(F.col(column) * 100).cast("bigint").cast("decimal(12,0)")
-    return (cents * F.lit(Decimal("0.01"))).cast(MONEY)
-
-
-def standin_tables(spark: SparkSession, folder: str, accounts_per_person: int = 1) -> dict[str, DataFrame]:
-    """All eight tables from the parquet files in ``folder``."""
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    nation = read("nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("state"))
-    ordered_on = F.col("o_orderdate")
-
-    customer = read("customer").withColumn("nation", F.col("c_nationkey")).join(nation, "nation")
-    person = F.col("c_custkey") if accounts_per_person == 1 else F.floor(F.col("c_custkey") / accounts_per_person)
-    customers = customer.select(
-        F.col("c_custkey").alias("customer_id"),
-        person.alias("customer_unique_id"),
-        F.lpad((F.col("c_custkey") % 100_000).cast("string"), 5, "0").alias("customer_zip_code_prefix"),
-        F.col("c_mktsegment").alias("customer_city"),
-        F.col("state").alias("customer_state"),
-    )
-
-    supplier = read("supplier").withColumn("nation", F.col("s_nationkey")).join(nation, "nation")
-    sellers = supplier.select(
-        F.col("s_suppkey").alias("seller_id"),
-        F.lpad((F.col("s_suppkey") % 100_000).cast("string"), 5, "0").alias("seller_zip_code_prefix"),
-        F.col("s_name").alias("seller_city"),
-        F.col("state").alias("seller_state"),
-    )
-
-    part = read("part")
-    size = F.col("p_size")
-    products = part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.nullif(F.col("p_type"), F.lit("ECONOMY")).alias("product_category_name"),
-        F.length("p_name").cast("smallint").alias("product_name_lenght"),
-        F.length("p_brand").cast("smallint").alias("product_description_lenght"),
-        F.lit(1).cast("smallint").alias("product_photos_qty"),
-        (size * 100).alias("product_weight_g"),
-        size.cast("smallint").alias("product_length_cm"),
-        size.cast("smallint").alias("product_height_cm"),
-        size.cast("smallint").alias("product_width_cm"),
-    )
-    translated = F.col("p_type").isin("STANDARD", "MEDIUM", "SMALL")
-    translations = part.where(translated).select(
-        F.col("p_type").alias("product_category_name"),
-        F.lower("p_type").alias("product_category_name_english"),
-    ).distinct()
-
-    order_key = F.col("o_orderkey")
-    orders = read("orders").select(
-        order_key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "F", "delivered").otherwise(F.col("o_orderstatus")).alias("order_status"),
-        ordered_on.alias("order_purchase_timestamp"),
-        (ordered_on + F.expr("INTERVAL 1 DAY")).alias("order_approved_at"),
-        F.when(order_key % 5 != 0, ordered_on + F.expr("INTERVAL 2 DAYS")).alias("order_delivered_carrier_date"),
-        F.when(order_key % 3 != 0, ordered_on + F.expr("INTERVAL 9 DAYS")).alias("order_delivered_customer_date"),
-        (ordered_on + F.expr("INTERVAL 20 DAYS")).alias("order_estimated_delivery_date"),
-    )
-
-    reviews = read("orders").where(order_key % 4 != 0).select(
-        order_key.alias("review_id"),
-        order_key.alias("order_id"),
-        F.substring("o_orderpriority", 1, 1).cast("smallint").alias("review_score"),
-        F.col("o_orderpriority").alias("review_comment_title"),
-        F.lit(None).cast("string").alias("review_comment_message"),
-        (ordered_on + F.expr("INTERVAL 10 DAYS")).alias("review_creation_date"),
-        (ordered_on + F.expr("INTERVAL 12 DAYS")).alias("review_answer_timestamp"),
-    )
-
-    lineitem = read("lineitem")
-    order_items = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        _money("l_extendedprice").alias("price"),
-        _money("l_quantity").alias("freight_value"),
-    )
-    order_payments = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        _money("l_discount").alias("payment_value"),
-    )
-
-    return {
-        "customers": customers,
-        "sellers": sellers,
-        "products": products,
-        "product_category_translation": translations,
-        "orders": orders,
-        "order_items": order_items,
-        "order_payments": order_payments,
-        "order_reviews": reviews,
-    }
+    return f"CAST(CAST(CAST(RINT({column} * 100) AS BIGINT) AS DECIMAL(12, 0)) * 0.01BD AS {MONEY.simpleString()})"
+
+
+def _zip(key: str) -> str:
+    return f"LPAD(CAST({key} % 100000 AS STRING), 5, '0')"
+
+
+_ORDER_REVIEWS = [
+    "o_orderkey AS review_id",
+    "o_orderkey AS order_id",
+    "CAST(SUBSTRING(o_orderpriority, 1, 1) AS SMALLINT) AS review_score",
+    "o_orderpriority AS review_comment_title",
+    "CAST(NULL AS STRING) AS review_comment_message",
+    "o_orderdate + INTERVAL 10 DAYS AS review_creation_date",
+    "o_orderdate + INTERVAL 12 DAYS AS review_answer_timestamp",
+]
+
+# Source table and columns of the tables that need one source only.
+_COLUMNS: dict[str, tuple[str, list[str]]] = {
+    "products": ("part", [
+        "p_partkey AS product_id",
+        "NULLIF(p_type, 'ECONOMY') AS product_category_name",
+        "CAST(LENGTH(p_name) AS SMALLINT) AS product_name_lenght",
+        "CAST(LENGTH(p_brand) AS SMALLINT) AS product_description_lenght",
+        "CAST(1 AS SMALLINT) AS product_photos_qty",
+        "p_size * 100 AS product_weight_g",
+        "CAST(p_size AS SMALLINT) AS product_length_cm",
+        "CAST(p_size AS SMALLINT) AS product_height_cm",
+        "CAST(p_size AS SMALLINT) AS product_width_cm",
+    ]),
+    "orders": ("orders", [
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "IF(o_orderstatus = 'F', 'delivered', o_orderstatus) AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        "o_orderdate + INTERVAL 1 DAY AS order_approved_at",
+        "IF(o_orderkey % 5 <> 0, o_orderdate + INTERVAL 2 DAYS, NULL) AS order_delivered_carrier_date",
+        "IF(o_orderkey % 3 <> 0, o_orderdate + INTERVAL 9 DAYS, NULL) AS order_delivered_customer_date",
+        "o_orderdate + INTERVAL 20 DAYS AS order_estimated_delivery_date",
+    ]),
+    "order_items": ("lineitem", [
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        f"{_money('l_extendedprice')} AS price",
+        f"{_money('l_quantity')} AS freight_value",
+    ]),
+    "order_payments": ("lineitem", [
+        "l_orderkey AS order_id",
+        "l_linenumber AS payment_sequential",
+        "l_returnflag AS payment_type",
+        "1 AS payment_installments",
+        f"{_money('l_discount')} AS payment_value",
+    ]),
+}
+
+
+def standin_table(spark: SparkSession, folder: str, name: str, accounts_per_person: int = 1) -> DataFrame:
+    """One table from the parquet files in ``folder``."""
+    def read(source: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{source}.parquet")
+
+    if name == "customers":
+        person = "c_custkey" if accounts_per_person == 1 else f"c_custkey DIV {accounts_per_person}"
+        nations = read("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        return read("customer").join(nations, "c_nationkey").selectExpr(
+            "c_custkey AS customer_id",
+            f"{person} AS customer_unique_id",
+            f"{_zip('c_custkey')} AS customer_zip_code_prefix",
+            "c_mktsegment AS customer_city",
+            "n_name AS customer_state",
+        )
+    if name == "sellers":
+        nations = read("nation").withColumnRenamed("n_nationkey", "s_nationkey")
+        return read("supplier").join(nations, "s_nationkey").selectExpr(
+            "s_suppkey AS seller_id",
+            f"{_zip('s_suppkey')} AS seller_zip_code_prefix",
+            "s_name AS seller_city",
+            "n_name AS seller_state",
+        )
+    if name == "product_category_translation":
+        return read("part").where("p_type IN ('STANDARD', 'MEDIUM', 'SMALL')").selectExpr(
+            "p_type AS product_category_name", "LOWER(p_type) AS product_category_name_english"
+        ).distinct()
+    if name == "order_reviews":
+        return read("orders").where("o_orderkey % 4 <> 0").selectExpr(*_ORDER_REVIEWS)
+    source, columns = _COLUMNS[name]
+    return read(source).selectExpr(*columns)
+
+
+def standin_tables(
+    spark: SparkSession, folder: str, names: Iterable[str] = tuple(TABLES), accounts_per_person: int = 1
+) -> dict[str, DataFrame]:
+    """The named tables, all eight by default."""
+    return {name: standin_table(spark, folder, name, accounts_per_person) for name in names}
