@@ -19,8 +19,14 @@ U = np.uint64
 SLICE_BYTES = 2 << 20  # of text that is worked on at once; a single longer text is taken whole
 _BASE = U(0x9E3779B97F4A7C15)
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Classes of bytes: 0 separates, and a word is a run of one class.
+WORDS = np.ones(256, dtype=np.uint8)
+WORDS[[0x20, *range(0x09, 0x0E)]] = 0
+# Letters, digits and all beyond ASCII apart from runs of punctuation.
+WORDS_AND_MARKS = WORDS.copy()
+WORDS_AND_MARKS[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 2
+# The same without the punctuation.
+PLAIN_WORDS = np.where(WORDS_AND_MARKS == 1, 1, 0).astype(np.uint8)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -105,16 +111,18 @@ def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
 
 
-def _slice_words(first: int, offsets: np.ndarray, data: np.ndarray, lower: bool) -> Words:
+def _slice_words(first: int, offsets: np.ndarray, data: np.ndarray, lower: bool, classes: np.ndarray) -> Words:
     offsets = offsets - offsets[0]
     n = len(data)
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(first, np.zeros(len(offsets), dtype=np.int64), none.astype(U), data, none, none)
-    letter = ~_SPACE[data]
+    kind = classes[data]
+    letter = kind > 0
     begin, end = letter.copy(), letter.copy()
-    begin[1:] &= ~letter[:-1]
-    end[:-1] &= ~letter[1:]
+    change = kind[1:] != kind[:-1]
+    begin[1:] &= change
+    end[:-1] &= change
     borders = offsets[1:-1]
     borders = borders[(borders > 0) & (borders < n)]
     begin[borders] = letter[borders]
@@ -128,7 +136,7 @@ def _slice_words(first: int, offsets: np.ndarray, data: np.ndarray, lower: bool)
     return Words(first, np.searchsorted(starts, offsets), hashes, data, starts, ends)
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+def words_of(column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS) -> Iterator[Words]:
     """The words of every text, in slices of whole texts of about ``SLICE_BYTES``; ``lower`` maps A-Z to a-z."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -139,7 +147,7 @@ def words_of(column: pa.Array, lower: bool = False) -> Iterator[Words]:
     while at < len(column):
         to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
         to = min(max(to, at + 1), len(column))
-        yield _slice_words(at, offsets[at: to + 1], data[offsets[at]: offsets[to]], lower)
+        yield _slice_words(at, offsets[at: to + 1], data[offsets[at]: offsets[to]], lower, classes)
         at = to
 
 
