@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.llm.shared import shuffle_partitions, table
-from buyerlens.llm.words import SLICE_BYTES, _text_bytes
+from buyerlens.llm.words import SLICE_BYTES, text_bytes
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -101,7 +101,7 @@ def assemble(roles: list[str | None], offsets: np.ndarray, data: np.ndarray) ->
 
 def _format(batches):
     for batch in batches:
-        offsets, data = _text_bytes(batch.column("text"))
+        offsets, data = text_bytes(batch.column("text"))
         roles = batch.column("role").to_pylist()
         at = 0
         while at < len(roles):

@@ -101,7 +101,7 @@ class Words:
         return mix((sums[stop] - sums[:-1]) * down[:-1] + U(n)), inside
 
 
-def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a string column; null is empty."""
     if column.null_count:
         column = column.fill_null("")
@@ -123,17 +123,28 @@ def _slice_words(first: int, offsets: np.ndarray, data: np.ndarray, lower: bool,
     change = kind[1:] != kind[:-1]
     begin[1:] &= change
     end[:-1] &= change
-    borders = offsets[1:-1]
-    borders = borders[(borders > 0) & (borders < n)]
+    borders = inner_borders(offsets)
     begin[borders] = letter[borders]
     end[borders - 1] = letter[borders - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    hashes = hash_runs(data, starts, ends, lower)
+    return Words(first, np.searchsorted(starts, offsets), hashes, data, starts, ends)
+
+
+def inner_borders(offsets: np.ndarray) -> np.ndarray:
+    """Where one text ends and another begins, inside the bytes that ``offsets`` (from 0) divide."""
+    borders = offsets[1:-1]
+    return borders[(borders > 0) & (borders < offsets[-1])]
+
+
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """Hashes of runs of bytes."""
+    n = len(data)
     up, down = _byte_powers(n + 1)
     sums = np.zeros(n + 1, dtype=U)
     np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * up[:n], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * down[starts]
-    hashes = mix(raw + (ends - starts).astype(U) * _BASE)
-    return Words(first, np.searchsorted(starts, offsets), hashes, data, starts, ends)
+    return mix(raw + (ends - starts).astype(U) * _BASE)
 
 
 def words_of(column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS) -> Iterator[Words]:
@@ -142,7 +153,7 @@ def words_of(column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS)
         column = column.combine_chunks()
     if len(column) == 0:
         return
-    offsets, data = _text_bytes(column)
+    offsets, data = text_bytes(column)
     at = 0
     while at < len(column):
         to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
