@@ -81,6 +81,19 @@ def block_rows(counts: np.ndarray, block_size: int):
             yield block, own.tobytes()
 
 
+def planes(values: np.ndarray, n_bytes: int) -> bytes:
+    """The low ``n_bytes`` of whole numbers, all first bytes before all second ones: even bytes compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n_bytes].T).tobytes()
+
+
+def from_planes(raw: bytes, n_bytes: int) -> np.ndarray:
+    """The numbers that ``planes`` has packed, as int64; those of fewer than eight bytes are not negative."""
+    found = np.frombuffer(raw, dtype=np.uint8).reshape(n_bytes, -1)
+    out = np.zeros((found.shape[1], 8), dtype=np.uint8)
+    out[:, :n_bytes] = found.T
+    return out.view("<i8").reshape(-1)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``links`` (a long, b long): one row (node, component) per node, component its smallest.
 
