@@ -52,24 +52,24 @@ def short_side(df: DataFrame) -> DataFrame:
 def sum_of_blocks(blocks: DataFrame, size: int, block_size: int) -> np.ndarray:
     """Sum the count arrays that tasks have made of a table of fixed ``size``.
 
-    ``blocks`` has (block int, counts binary of int64). Each block is summed in a
+    ``blocks`` has (block int, counts binary as of ``planes``). Each block is summed in a
     stream, so memory and what reaches the driver are bounded by ``size``.
     """
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.frombuffer(counts.as_buffer(), dtype=np.int64)
-                sums[block] = sums[block] + found if block in sums else found.copy()
+                found = from_planes(counts.as_py(), 8)
+                sums[block] = sums[block] + found if block in sums else found
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+            [pa.array(list(sums), pa.int32()), pa.array([planes(x, 8) for x in sums.values()], pa.binary())],
             names=["block", "counts"],
         )
 
     total = np.zeros(size, dtype=np.int64)
     spread = min(size // block_size, shuffle_partitions(blocks.sparkSession))
     for row in blocks.repartition(spread, "block").mapInArrow(add, "block int, counts binary").collect():
-        total[row.block * block_size: (row.block + 1) * block_size] += np.frombuffer(row.counts, dtype=np.int64)
+        total[row.block * block_size: (row.block + 1) * block_size] += from_planes(row.counts, 8)
     return total
 
 
@@ -78,7 +78,7 @@ def block_rows(counts: np.ndarray, block_size: int):
     for block in range(len(counts) // block_size):
         own = counts[block * block_size: (block + 1) * block_size]
         if own.any():
-            yield block, own.tobytes()
+            yield block, planes(own, 8)
 
 
 def planes(values: np.ndarray, n_bytes: int) -> bytes:
