@@ -192,19 +192,20 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, overlap: float = OV
     return out
 
 
+def _leaks(shared):
+    @F.arrow_udf("boolean")
+    def leaks(column: pa.Array) -> pa.Array:
+        out = np.zeros(len(column), dtype=bool)
+        out[[r for r, _, _ in _best(shared.value, column)]] = True
+        return pa.array(out)
+
+    return leaks
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP, max_items: int = MAX_ITEMS) -> DataFrame:
     """The documents that hold no item, with their columns."""
-    spark = docs.sparkSession
     for found in item_rounds(benchmark, overlap, max_items):
-        shared = spark.sparkContext.broadcast(found)
-
-        @F.arrow_udf("boolean")
-        def leaks(column: pa.Array, shared=shared) -> pa.Array:
-            out = np.zeros(len(column), dtype=bool)
-            out[[r for r, _, _ in _best(shared.value, column)]] = True
-            return pa.array(out)
-
-        docs = docs.where(~leaks(F.col("text")))
+        docs = docs.where(~_leaks(docs.sparkSession.sparkContext.broadcast(found))(F.col("text")))
     return docs
 
 
