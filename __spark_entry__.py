@@ -29,6 +29,14 @@ from buyerlens.sources import csv
 from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, standin_table, standin_tables
 from oracle_queries import ORACLES
 
+try:
+    import corpus_pipeline
+    from buyerlens.llm import registry as corpus
+except ModuleNotFoundError as missing:  # the corpus operators can be left out
+    if missing.name not in ("corpus_pipeline", "buyerlens.llm"):
+        raise
+    corpus_pipeline = corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,15 +259,21 @@ def queries() -> dict[str, Query]:
         found[name] = lambda s, d, query=query: query(_clean(s, d))
     for name, query in _feature_queries().items():
         found[name] = lambda s, d, query=query: query(_features(s, d))
-    return {
+    registered = {
         name: (lambda s, d, query=query: portable(query(s, d)))
         for name, query in sorted(found.items())
     }
+    if corpus:
+        registered.update(corpus.QUERIES, pipeline=corpus_pipeline.run)
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. ``features_preview`` has none: any ten rows are right."""
-    return dict(ORACLES)
+    oracles = dict(ORACLES)
+    if corpus:
+        oracles.update(corpus.ORACLES)
+    return oracles
 
 
 def entry(spark: SparkSession) -> DataFrame:
