@@ -45,6 +45,7 @@ from buyerlens.llm.words import U, mix, shingles, words_of
 SKETCH_BITS = 18
 SKETCH_BLOCK = 1 << 14
 RESIDUE_BITS = 40
+FLUSH = 1 << 20  # shingles that a task gathers before it hands them on
 GROUPS = 8
 PAIRS_FROM, PAIRS_BELOW = 16, 2000
 LATE = 1 << 48  # added to the count of frequent shingles, so that they come last
@@ -102,11 +103,44 @@ def _deal(n: int, lower: bool, n_parts: int, frequent: np.ndarray):
             [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names
         )
 
+    def packed(held):
+        keys, sizes, tokens = (np.concatenate(x) for x in zip(*held))
+        owners = np.repeat(np.arange(len(keys)), sizes)
+        part = ((tokens >> U(RESIDUE_BITS)) % U(n_parts)).astype(np.int64)
+        residue = tokens & U((1 << RESIDUE_BITS) - 1)
+        df = frequent[(tokens >> U(64 - SKETCH_BITS)).astype(np.int64)]
+        rows = []
+        often = df > 0
+        if often.any():
+            to = n_parts + (owners[often] % n_parts)
+            order = np.argsort(to, kind="stable")
+            to, who = to[order], owners[often][order]
+            token = ((part[often] << RESIDUE_BITS) | residue[often].astype(np.int64))[order]
+            many = df[often][order]
+            cuts = np.flatnonzero(np.diff(to)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(to)]):
+                rows.append((int(to[a]), keys[who[a:b]].tobytes(), sizes[who[a:b]].astype(np.int32).tobytes(),
+                             b"", token[a:b].tobytes(), many[a:b].tobytes()))
+        part, residue, owners = part[~often], residue[~often], owners[~often]
+        order = np.argsort(part.astype(np.int32), kind="stable")
+        part, residue, owners = part[order], residue[order], owners[order]
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(part)]):
+            if a == b:
+                continue
+            own = owners[a:b]
+            first = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
+            rows.append((int(part[a]), keys[own[first]].tobytes(), sizes[own[first]].astype(np.int32).tobytes(),
+                         np.diff(np.concatenate((first, [b - a]))).astype(np.int32).tobytes(),
+                         residue[a:b].astype(np.uint32).tobytes(),
+                         (residue[a:b] >> U(32)).astype(np.uint8).tobytes()))
+        for a in range(0, len(rows), 256):
+            yield emit(rows[a: a + 256])
+
     def run(batches):
         for batch in batches:
-            found: dict[int, list[np.ndarray]] = {}
             known: set[int] = set()
-            keys, sizes, tokens, owners, base = [], [], [], [], 0
+            held, waiting = [], 0
             for w in words_of(batch.column(0), lower):
                 values, at = shingles(w, n)
                 own = _set_keys(values, at)
@@ -116,45 +150,13 @@ def _deal(n: int, lower: bool, n_parts: int, frequent: np.ndarray):
                     if size[i] and k not in known:
                         known.add(k)
                         fresh[i] = True
-                tokens.append(values[np.repeat(fresh, size)])
-                keys.append(own[fresh])
-                sizes.append(size[fresh])
-                owners.append(np.repeat(np.arange(base, base + fresh.sum()), size[fresh]))
-                base += int(fresh.sum())
-            if not base:
-                continue
-            keys, sizes = np.concatenate(keys), np.concatenate(sizes)
-            tokens, owners = np.concatenate(tokens), np.concatenate(owners)
-            part = ((tokens >> U(RESIDUE_BITS)) % U(n_parts)).astype(np.int64)
-            residue = tokens & U((1 << RESIDUE_BITS) - 1)
-            df = frequent[(tokens >> U(64 - SKETCH_BITS)).astype(np.int64)]
-            rows = []
-            often = df > 0
-            if often.any():
-                to = n_parts + (owners[often] % n_parts)
-                order = np.argsort(to, kind="stable")
-                to, who = to[order], owners[often][order]
-                token = ((part[often] << RESIDUE_BITS) | residue[often].astype(np.int64))[order]
-                many = df[often][order]
-                cuts = np.flatnonzero(np.diff(to)) + 1
-                for a, b in zip([0, *cuts], [*cuts, len(to)]):
-                    rows.append((int(to[a]), keys[who[a:b]].tobytes(), sizes[who[a:b]].astype(np.int32).tobytes(),
-                                 b"", token[a:b].tobytes(), many[a:b].tobytes()))
-            part, residue, owners = part[~often], residue[~often], owners[~often]
-            order = np.argsort(part.astype(np.int32), kind="stable")
-            part, residue, owners = part[order], residue[order], owners[order]
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(part)]):
-                if a == b:
-                    continue
-                own = owners[a:b]
-                first = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
-                rows.append((int(part[a]), keys[own[first]].tobytes(), sizes[own[first]].astype(np.int32).tobytes(),
-                             np.diff(np.concatenate((first, [b - a]))).astype(np.int32).tobytes(),
-                             residue[a:b].astype(np.uint32).tobytes(),
-                             (residue[a:b] >> U(32)).astype(np.uint8).tobytes()))
-            for a in range(0, len(rows), 256):
-                yield emit(rows[a: a + 256])
+                held.append((own[fresh], size[fresh], values[np.repeat(fresh, size)]))
+                waiting += int(size[fresh].sum())
+                if waiting > FLUSH:
+                    yield from packed(held)
+                    held, waiting = [], 0
+            if waiting:
+                yield from packed(held)
 
     return run
 

@@ -40,6 +40,7 @@ WINDOW = 20
 ANCHOR = 8
 _LAST = (1 << 63) - 1  # stands for a null id
 HASH_BYTES = 7
+FLUSH = 1 << 20  # windows that a task gathers before it hands them on
 
 # Of each stretch: document (id and text), first word, number of windows; and the windows' hashes.
 PACKED = "part int, ids binary, texts binary, firsts binary, lengths binary, windows binary"
@@ -65,7 +66,7 @@ def _runs(*same: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     for values in same:
         new[1:] |= values[1:] != values[:-1]
     first = np.flatnonzero(new)
-    return first, np.append(first[1:], len(new))
+    return first, np.append(first[1:], len(new))[: len(first)]
 
 
 def _ranks(ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
@@ -128,33 +129,38 @@ def _parse(window: int, n_parts: int):
     """Parse every text against its own slice; what stays open goes to the blocks of its anchors."""
     none = np.zeros(0, dtype=np.int64)
 
+    def packed(ids, texts, held):
+        closed, open_, windows = zip(*held)
+        rows = []
+        row, first, last = (np.concatenate(x) for x in zip(*closed))
+        for part, own in _by(n_parts + row % n_parts):
+            rows.append((part, *map(planes, (ids[row[own]], texts[row[own]], first[own], last[own], none), _BYTES)))
+        row, first, length, anchor = (np.concatenate(x) for x in zip(*open_))
+        windows = np.concatenate(windows)
+        at = np.cumsum(length) - length
+        for part, own in _by((anchor % U(n_parts)).astype(np.int64)):
+            n = length[own]
+            take = np.arange(n.sum()) + np.repeat(at[own] - (np.cumsum(n) - n), n)
+            rows.append((part, *map(planes, (ids[row[own]], texts[row[own]], first[own], n, windows[take]), _BYTES)))
+        for a in range(0, len(rows), 64):
+            columns = list(zip(*rows[a: a + 64]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=_NAMES)
+
     def run(batches):
         for batch in batches:
             ids, texts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            closed, open_, windows = [], [], []
+            held, waiting = [], 0
             for w in words_of(batch.column(2)):
                 own = slice(w.first, w.first + w.n_rows)
                 spans, stretch, found = _parse_slice(w, ids[own], texts[own], window)
-                closed.append((spans[0] + w.first, spans[1], spans[2]))
-                open_.append((stretch[0] + w.first, *stretch[1:]))
-                windows.append(found)
-            if not open_:
-                continue
-            rows = []
-            row, first, last = (np.concatenate(x) for x in zip(*closed))
-            for part, own in _by(n_parts + row % n_parts):
-                rows.append((part, *map(planes, (ids[row[own]], texts[row[own]], first[own], last[own], none), _BYTES)))
-            row, first, length, anchor = (np.concatenate(x) for x in zip(*open_))
-            windows = np.concatenate(windows)
-            at = np.cumsum(length) - length
-            for part, own in _by((anchor % U(n_parts)).astype(np.int64)):
-                n = length[own]
-                take = np.arange(n.sum()) + np.repeat(at[own] - (np.cumsum(n) - n), n)
-                rows.append((part, *map(planes, (ids[row[own]], texts[row[own]], first[own], n, windows[take]), _BYTES)))
-            for a in range(0, len(rows), 64):
-                columns = list(zip(*rows[a: a + 64]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=_NAMES)
+                held.append(((spans[0] + w.first, *spans[1:]), (stretch[0] + w.first, *stretch[1:]), found))
+                waiting += len(found)
+                if waiting > FLUSH:
+                    yield from packed(ids, texts, held)
+                    held, waiting = [], 0
+            if held:
+                yield from packed(ids, texts, held)
 
     return run
 
