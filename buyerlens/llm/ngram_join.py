@@ -17,9 +17,10 @@ A document is the set of its distinct word shingles. Two documents link when
    extended until rare + sum of ``c - 1`` exceeds ``e``. Very small sets, where
    that may not be reached, and very large ones, where pairs would be too many,
    are indexed by single shingles; sets near such a border get both forms.
-4. Sets with a common index entry are candidates. Each entry first compares its
-   members with the most central one; what is linked by then needs no further
-   comparison, and only members of different components are compared in pairs.
+4. Sets with a common index entry are candidates. In ``ROUNDS`` rounds each entry
+   compares its members with a central one, another in each round; what is linked
+   by then needs no further comparison, and only members that are still apart are
+   compared in pairs, where bitmaps of the sets leave a link possible.
 5. Verification counts the common shingles exactly.
 
 Shingles are 64-bit hashes, of which the number of the part and 40 bits more are
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.llm.shared import block_rows, components, dealt, parts, shuffle_partitions, sum_of_blocks, table, written
+from buyerlens.llm.shared import block_rows, components, dealt, from_planes, parts, planes, shuffle_partitions, sum_of_blocks, table, written
 from buyerlens.llm.words import U, mix, shingles, words_of
 
 SKETCH_BITS = 18
@@ -47,6 +48,8 @@ SKETCH_BLOCK = 1 << 14
 RESIDUE_BITS = 40
 FLUSH = 1 << 20  # shingles that a task gathers before it hands them on
 GROUPS = 8
+ROUNDS = 4
+BITMAP_WORDS = 8
 PAIRS_FROM, PAIRS_BELOW = 16, 2000
 LATE = 1 << 48  # added to the count of frequent shingles, so that they come last
 
@@ -130,8 +133,8 @@ def _deal(n: int, lower: bool, n_parts: int, frequent: np.ndarray):
                 continue
             own = owners[a:b]
             first = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1))
-            rows.append((int(part[a]), keys[own[first]].tobytes(), sizes[own[first]].astype(np.int32).tobytes(),
-                         np.diff(np.concatenate((first, [b - a]))).astype(np.int32).tobytes(),
+            rows.append((int(part[a]), keys[own[first]].tobytes(), planes(sizes[own[first]], 4),
+                         planes(np.diff(np.concatenate((first, [b - a]))), 4),
                          residue[a:b].astype(np.uint32).tobytes(),
                          (residue[a:b] >> U(32)).astype(np.uint8).tobytes()))
         for a in range(0, len(rows), 256):
@@ -178,9 +181,9 @@ def _shared_tokens(n_parts: int):
             return
         keys, sizes, residues = [], [], []
         for key, size, run, low, high in rows:
-            run = np.frombuffer(run, dtype=np.int32)
+            run = from_planes(run, 4)
             keys.append(np.repeat(np.frombuffer(key, dtype=np.int64), run))
-            sizes.append(np.repeat(np.frombuffer(size, dtype=np.int32), run))
+            sizes.append(np.repeat(from_planes(size, 4).astype(np.int32), run))
             residues.append(
                 np.frombuffer(low, dtype=np.uint32).astype(np.int64)
                 | (np.frombuffer(high, dtype=np.uint8).astype(np.int64) << 32)
@@ -295,30 +298,61 @@ def _side(entries: DataFrame, name: str, *more: str) -> DataFrame:
     return entries.select("entry", F.col("key").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "m", *more)))
 
 
+def _pivots(members: DataFrame, number: int) -> DataFrame:
+    """One member per entry to compare the others with: one of the most central, another in each round.
+
+    Entries fall into four kinds, so that a group with many entries in common is
+    compared with a few pivots per round, not with one per entry.
+    """
+    shift = F.pmod(F.xxhash64("key", F.pmod("entry", F.lit(4)), F.lit(number)), F.lit(4 * number + 1))
+    rank = F.struct((F.col("n") - F.col("m") + shift).alias("rank"), F.xxhash64("key", F.lit(number)).alias("h"), "key", "n", "m", "c")
+    found = members.groupBy("entry").agg(F.min(rank).alias("p"))
+    return found.select("entry", *(F.col(f"p.{x}").alias(f"{x}_a") for x in ("n", "m", "c")), F.col("p.key").alias("a"))
+
+
+def _open(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The members, with their components, of entries that hold several components."""
+    if links is None:
+        labelled = members.withColumn("c", F.col("key"))
+    else:
+        labelled = members.drop("c").join(components(links), F.col("key") == F.col("node"), "left").select(
+            "entry", "key", "n", "m", F.coalesce("component", "key").alias("c"))
+    mixed = written(labelled.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high")).where(
+        "low <> high").select("entry"), "mixed")
+    return written(labelled.join(mixed, "entry", "left_semi"), "open")
+
+
+def _bitmaps(batches):
+    """Of each set, a bitmap of its shared shingles: sets that differ in many bits have few in common."""
+    for batch in batches:
+        bits = []
+        for tokens in batch.column("tokens"):
+            own = np.unique(mix(tokens.values.to_numpy().astype(U)) % U(64 * BITMAP_WORDS))
+            words = np.zeros(BITMAP_WORDS, dtype=U)
+            np.bitwise_or.at(words, (own >> U(6)).astype(np.int64), U(1) << (own & U(63)))
+            bits.append(words.view(np.int64))
+        columns = [batch.column("key"), *(pa.array([b[k] for b in bits], pa.int64()) for k in range(BITMAP_WORDS))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", *(f"b{k}" for k in range(BITMAP_WORDS))])
+
+
 def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect every component; pairs already connected are not compared."""
-    central = entries.groupBy("entry").agg(
-        F.min(F.struct((F.col("n") - F.col("m")).alias("alone"), "key", "n", "m")).alias("c"), F.count("*").alias("many")
-    )
-    central = written(central.where("many > 1").select(
-        "entry", F.col("c.key").alias("a"), F.col("c.n").alias("n_a"), F.col("c.m").alias("m_a")
-    ), "central")
-    first = entries.join(central.select("entry"), "entry", "left_semi")
-    first = written(first, "entries")
-    pairs = _side(first, "b").join(central, "entry").where("a <> b").where(_possible(percent))
-    pairs = written(pairs.select("a", "b").distinct(), "pairs")
-    links = written(_verified(pairs, sets, percent), "links")
-
-    label = components(links)
-    labelled = first.join(label, F.col("key") == F.col("node"), "left").select(
-        "entry", "key", "n", "m", F.coalesce("component", "key").alias("c")
-    )
-    labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    open_ = written(labelled.join(mixed.select("entry"), "entry", "left_semi"), "open")
-    # Of an open entry, the sets that can still link with a member of another component.
-    rest = _side(open_, "a", "c").join(_side(open_, "b", "c"), "entry").where("a < b AND c_a <> c_b").where(_possible(percent)).select("a", "b").distinct()
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    open_, links, tried = _open(entries, None), None, None
+    for number in range(ROUNDS):
+        pairs = _side(open_, "b", "c").join(_pivots(open_, number), "entry").where("c_a <> c_b").where(_possible(percent))
+        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        found = written(_verified(pairs, sets, percent), "links")
+        links = found if links is None else links.union(found)
+        tried = pairs if tried is None else tried.union(pairs)
+        open_ = _open(open_, links)
+    # What is still apart is compared in pairs, unless the bitmaps show that too few shingles are common.
+    names = [f"b{k}" for k in range(BITMAP_WORDS)]
+    maps = sets.select("key", "tokens").mapInArrow(_bitmaps, "key long, " + ", ".join(f"{x} long" for x in names))
+    open_ = written(open_.join(maps, "key"), "mapped")
+    differ = " + ".join(f"bit_count({x}_a ^ {x}_b)" for x in names)
+    enough = f"{100 + percent} * (m_a + m_b - ({differ})) >= {2 * percent} * (n_a + n_b)"
+    rest = _side(open_, "a", "c", *names).join(_side(open_, "b", "c", *names), "entry")
+    rest = rest.where("a < b AND c_a <> c_b").where(_possible(percent)).where(enough).select("a", "b").distinct()
     return links.union(_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent))
 
 

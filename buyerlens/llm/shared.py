@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from buyerlens.session import shared_folder
 
 BROADCAST_ROWS = 200_000  # of a few numbers each; a longer side is joined by shuffling
-PARTS_PER_TASK = 4
+PARTS_PER_TASK = 1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,7 +32,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def parts(spark: SparkSession) -> int:
-    """Pieces into which packed rows are dealt: several for each task, so that one piece is small in memory."""
+    """Pieces into which packed rows are dealt. More pieces need less memory each and name each document more often."""
     return PARTS_PER_TASK * shuffle_partitions(spark)
 
 
