@@ -17,10 +17,10 @@ A document is the set of its distinct word shingles. Two documents link when
    extended until rare + sum of ``c - 1`` exceeds ``e``. Very small sets, where
    that may not be reached, and very large ones, where pairs would be too many,
    are indexed by single shingles; sets near such a border get both forms.
-4. Sets with a common index entry are candidates. In ``ROUNDS`` rounds each entry
-   compares its members with a central one, another in each round; what is linked
-   by then needs no further comparison, and only members that are still apart are
-   compared in pairs, where bitmaps of the sets leave a link possible.
+4. Sets with a common index entry are candidates. Each entry first compares its
+   members with ``PICKS`` central ones; what is linked by then needs no further
+   comparison, and only members that are still apart are compared in pairs, where
+   bitmaps of the sets leave a link possible.
 5. Verification counts the common shingles exactly.
 
 Shingles are 64-bit hashes, of which the number of the part and 40 bits more are
@@ -48,7 +48,7 @@ SKETCH_BLOCK = 1 << 14
 RESIDUE_BITS = 40
 FLUSH = 1 << 20  # shingles that a task gathers before it hands them on
 GROUPS = 8
-ROUNDS = 4
+PICKS = 4
 BITMAP_WORDS = 8
 PAIRS_FROM, PAIRS_BELOW = 16, 2000
 LATE = 1 << 48  # added to the count of frequent shingles, so that they come last
@@ -299,10 +299,10 @@ def _side(entries: DataFrame, name: str, *more: str) -> DataFrame:
 
 
 def _pivots(members: DataFrame, number: int) -> DataFrame:
-    """One member per entry to compare the others with: one of the most central, another in each round.
+    """One member per entry to compare the others with: one of the most central, another for each number.
 
     Entries fall into four kinds, so that a group with many entries in common is
-    compared with a few pivots per round, not with one per entry.
+    compared with a few pivots, not with one per entry.
     """
     shift = F.pmod(F.xxhash64("key", F.pmod("entry", F.lit(4)), F.lit(number)), F.lit(4 * number + 1))
     rank = F.struct((F.col("n") - F.col("m") + shift).alias("rank"), F.xxhash64("key", F.lit(number)).alias("h"), "key", "n", "m", "c")
@@ -337,14 +337,16 @@ def _bitmaps(batches):
 
 def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect every component; pairs already connected are not compared."""
-    open_, links, tried = _open(entries, None), None, None
-    for number in range(ROUNDS):
-        pairs = _side(open_, "b", "c").join(_pivots(open_, number), "entry").where("c_a <> c_b").where(_possible(percent))
-        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        found = written(_verified(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        open_ = _open(open_, links)
+    open_ = _open(entries, None)
+    members = _side(open_, "b", "c")
+    pairs = None
+    for number in range(PICKS):
+        own = members.join(_pivots(open_, number), "entry").where("c_a <> c_b").where(_possible(percent))
+        own = own.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = own if pairs is None else pairs.union(own)
+    tried = written(pairs.distinct(), "pairs")
+    links = written(_verified(tried, sets, percent), "links")
+    open_ = _open(open_, links)
     # What is still apart is compared in pairs, unless the bitmaps show that too few shingles are common.
     names = [f"b{k}" for k in range(BITMAP_WORDS)]
     maps = sets.select("key", "tokens").mapInArrow(_bitmaps, "key long, " + ", ".join(f"{x} long" for x in names))
