@@ -6,5 +6,4 @@ Five layers, each a set of plain ``DataFrame -> DataFrame`` functions:
 * ``operators``  integrity checks, cleaning steps, keep-latest, order sequence
 * ``functions``  column helpers (exact ratios, buckets, histogram bins)
 * ``plans``      the customer features, the reports on them, the whole build
-* ``streaming``  empty: the workload is bounded and refreshed in full
 """

@@ -59,7 +59,8 @@ def orphan_keys(child: DataFrame, key: ForeignKey, parent: DataFrame) -> DataFra
         .groupBy(F.col(key.column).alias("missing_key"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    known = parent.select(F.col(key.parent_column).alias("missing_key"))
+    # A parent key that repeats would otherwise bring all its rows to one task.
+    known = parent.select(F.col(key.parent_column).alias("missing_key")).distinct()
     return used.join(known, "missing_key", "left_anti")
 
 

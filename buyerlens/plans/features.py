@@ -163,13 +163,14 @@ def features_diversity(
 ) -> DataFrame:
     """Distinct product categories bought.
 
-    Categories are made distinct per order first: an order with very many items
-    then reaches the join as a few rows. Its items would compress so well that
+    Products, then categories are made distinct per order first: an order with very
+    many items then reaches each join as a few rows. Its items would compress so well that
     adaptive execution, which goes by bytes, might not see it as skewed. The
     rows of one product or account differ in the order id, so there it does.
     The count is spread over (person, category) before it is reduced to the person.
     """
-    bought = order_items.join(products, "product_id").select("order_id", "product_category_name").distinct()
+    items = order_items.select("order_id", "product_id").distinct()
+    bought = items.join(products, "product_id").select("order_id", "product_category_name").distinct()
     return (
         delivered_orders(customers, orders)
         .join(bought, "order_id")
@@ -248,8 +249,8 @@ def top_customers(features: DataFrame, n: int = 20) -> DataFrame:
 
 
 def preview(features: DataFrame, n: int = 10) -> DataFrame:
-    """Any ``n`` rows."""
-    return features.limit(n)
+    """``n`` rows, those of the smallest ids."""
+    return features.orderBy(_CUSTOMER).limit(n)
 
 
 def features_summary(features: DataFrame) -> DataFrame:

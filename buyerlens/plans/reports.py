@@ -77,11 +77,15 @@ def score_distribution(features: DataFrame) -> DataFrame:
 
 
 def basket_histogram(
-    features: DataFrame, cap: int | Decimal = BASKET_CAP, width: int | Decimal = BASKET_BIN
+    features: DataFrame, cap: int | Decimal = BASKET_CAP, width: int | Decimal = BASKET_BIN, overflow: bool = True
 ) -> DataFrame:
-    """Clients per bin of the mean basket, for baskets below the cap."""
+    """Clients per bin of the mean basket; baskets from the cap on share a last bin, or are left out without ``overflow``."""
     basket = F.col("avg_basket")
-    return _distribution(features.where(basket < cap), bin_start(basket, width), "bin_start", basket)
+    if not overflow:
+        return _distribution(features.where(basket < cap), bin_start(basket, width), "bin_start", basket)
+    start = bin_start(basket, width)
+    start = F.when(basket < cap, start).otherwise(F.lit(cap))
+    return _distribution(features, start, "bin_start", basket)
 
 
 def negative_pct_histogram(features: DataFrame, width: int | Decimal = NEGATIVE_BIN) -> DataFrame:

@@ -22,8 +22,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Hash instead of sort-merge joins where every partition is known to be this small.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        # Sums of whole cents must stop on overflow, not wrap.
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

@@ -29,14 +29,15 @@ def _zip(key: str) -> str:
     return f"LPAD(CAST({key} % 100000 AS STRING), 5, '0')"
 
 
+# A review per line item: orders have several, one, or none, and some review ids repeat.
 _ORDER_REVIEWS = [
-    "o_orderkey AS review_id",
-    "o_orderkey AS order_id",
-    "CAST(SUBSTRING(o_orderpriority, 1, 1) AS SMALLINT) AS review_score",
-    "o_orderpriority AS review_comment_title",
+    "CONCAT_WS('-', l_orderkey, l_linenumber) AS review_id",
+    "l_orderkey AS order_id",
+    "CAST(l_linenumber % 5 + 1 AS SMALLINT) AS review_score",
+    "l_returnflag AS review_comment_title",
     "CAST(NULL AS STRING) AS review_comment_message",
-    "o_orderdate + INTERVAL 10 DAYS AS review_creation_date",
-    "o_orderdate + INTERVAL 12 DAYS AS review_answer_timestamp",
+    "l_shipdate AS review_creation_date",
+    "l_shipdate + INTERVAL 1 DAY AS review_answer_timestamp",
 ]
 
 # Source table and columns of the tables that need one source only.
@@ -105,11 +106,11 @@ def standin_table(spark: SparkSession, folder: str, name: str, accounts_per_pers
             "n_name AS seller_state",
         )
     if name == "product_category_translation":
-        return read("part").where("p_type IN ('STANDARD', 'MEDIUM', 'SMALL')").selectExpr(
+        return read("part").selectExpr(
             "p_type AS product_category_name", "LOWER(p_type) AS product_category_name_english"
         ).distinct()
     if name == "order_reviews":
-        return read("orders").where("o_orderkey % 4 <> 0").selectExpr(*_ORDER_REVIEWS)
+        return read("lineitem").selectExpr(*_ORDER_REVIEWS)
     source, columns = _COLUMNS[name]
     return read(source).selectExpr(*columns)
 

@@ -43,7 +43,7 @@ STANDIN = {
         FROM part""",
     "product_category_translation": """
         SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
-        FROM part WHERE p_type IN ('STANDARD', 'MEDIUM', 'SMALL')""",
+        FROM part""",
     "orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                CASE WHEN o_orderstatus = 'F' THEN 'delivered' ELSE o_orderstatus END AS order_status,
@@ -64,12 +64,11 @@ STANDIN = {
                {money('l_discount')} AS payment_value
         FROM lineitem""",
     "order_reviews": """
-        SELECT o_orderkey AS review_id, o_orderkey AS order_id,
-               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS review_score,
-               o_orderpriority AS review_comment_title, CAST(NULL AS VARCHAR) AS review_comment_message,
-               o_orderdate + INTERVAL 10 DAY AS review_creation_date,
-               o_orderdate + INTERVAL 12 DAY AS review_answer_timestamp
-        FROM orders WHERE o_orderkey % 4 <> 0""",
+        SELECT l_orderkey || '-' || l_linenumber AS review_id, l_orderkey AS order_id,
+               CAST(l_linenumber % 5 + 1 AS BIGINT) AS review_score,
+               l_returnflag AS review_comment_title, CAST(NULL AS VARCHAR) AS review_comment_message,
+               l_shipdate AS review_creation_date, l_shipdate + INTERVAL 1 DAY AS review_answer_timestamp
+        FROM lineitem""",
 }
 
 
@@ -135,8 +134,7 @@ opinion AS (
     SELECT customer_unique_id, sum(score) AS score_sum, count(score) AS score_count,
            count(*) FILTER (WHERE score <= 2) AS negatives
     FROM done LEFT JOIN (
-        SELECT o_orderkey AS order_id, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS score
-        FROM orders WHERE o_orderkey % 4 <> 0
+        SELECT l_orderkey AS order_id, CAST(l_linenumber % 5 + 1 AS INTEGER) AS score FROM lineitem
     ) AS scores USING (order_id)
     GROUP BY customer_unique_id
 ),
@@ -289,7 +287,10 @@ ORACLES: dict[str, str] = {
     "products_without_category": """
         SELECT 'produits_sans_categorie' AS check_name, count(*) AS remaining FROM part WHERE p_type = 'ECONOMY'""",
     "insert_missing_translations": f"""
-        WITH existing AS ({STANDIN['product_category_translation']}),
+        WITH existing AS (
+            SELECT * FROM ({STANDIN['product_category_translation']}) AS t
+            WHERE product_category_name NOT IN ('LARGE', 'PROMO')
+        ),
         offered AS (
             SELECT * FROM (VALUES
                 ('pc_gamer', 'pc_gamer'),
@@ -304,7 +305,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM offered WHERE product_category_name NOT IN (SELECT product_category_name FROM existing)""",
     "untranslated_categories": """
         SELECT 'categories_sans_traduction' AS check_name, count(DISTINCT p_type) AS missing
-        FROM part WHERE p_type NOT IN ('STANDARD', 'MEDIUM', 'SMALL', 'ECONOMY')""",
+        FROM part WHERE p_type IN ('LARGE', 'PROMO')""",
     "zero_value_report": f"""
         SELECT payment_type, order_status, count(*) AS payments
         FROM {shop('order_payments')} JOIN {shop('orders')} USING (order_id)
@@ -313,7 +314,7 @@ ORACLES: dict[str, str] = {
         SELECT 'total_customers' AS metric, CAST(count(*) AS VARCHAR) AS value FROM customer
         UNION ALL SELECT 'total_products', CAST(count(*) AS VARCHAR) FROM part
         UNION ALL SELECT 'total_order_items', CAST(count(*) AS VARCHAR) FROM lineitem
-        UNION ALL SELECT 'total_reviews', CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderkey % 4 <> 0
+        UNION ALL SELECT 'total_reviews', CAST(count(*) AS VARCHAR) FROM lineitem
         UNION ALL SELECT 'total_orders', CAST(count(*) AS VARCHAR) FROM orders
         UNION ALL SELECT 'delivered_orders', CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'""",
     "strip_bom": "SELECT p_partkey AS product_id, p_name AS product_name FROM part",
@@ -341,6 +342,7 @@ ORACLES: dict[str, str] = {
     "features_view": ALL_FEATURES,
     "materialized_read": ALL_FEATURES,
     "customer_lookup": f"{ALL_FEATURES} WHERE customer_unique_id = (SELECT max(customer_unique_id) FROM features)",
+    "features_preview": f"{ALL_FEATURES} ORDER BY customer_unique_id LIMIT 10",
     "top_customers": f"{FEATURES} SELECT * FROM features ORDER BY total_spent DESC, customer_unique_id LIMIT 20",
     "features_summary": f"""{FEATURES}
         SELECT count(*) AS nb_clients, count(*) FILTER (WHERE frequency > 1) AS clients_recurrents,
@@ -364,6 +366,10 @@ ORACLES: dict[str, str] = {
                count(*) AS nb_clients
         FROM features GROUP BY 1""",
     "basket_histogram": f"""{FEATURES}
+        SELECT CAST(basket // 1000000 * 10000 AS DOUBLE) AS bin_start, count(*) AS nb_clients
+        FROM units WHERE basket < 25000000 GROUP BY 1
+        UNION ALL SELECT CAST(250000 AS DOUBLE), count(*) FROM units WHERE basket >= 25000000 HAVING count(*) > 0""",
+    "basket_histogram_capped": f"""{FEATURES}
         SELECT CAST(basket // 1000000 * 10000 AS DOUBLE) AS bin_start, count(*) AS nb_clients
         FROM units WHERE basket < 25000000 GROUP BY 1""",
     "score_distribution": f"""{FEATURES}
