@@ -81,10 +81,10 @@ def test_features_shuffle_each_input_once_per_key(spark, stored):
         plan = plan_of(features_of(stored))
     # By person: the sums once, the distinct count twice, the final join not at all. By order: orders,
     # items and reviews for the sums, orders and items for the categories. By account: orders and
-    # customers in both. By product: items and products. By order and category: once.
+    # customers in both. By product: items and products. By order and category, and by order and product: once.
     keys = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)
     people = [k for k in keys if k.startswith("customer_unique_id")]
-    assert len(people) == 3 and len(keys) == 3 + 5 + 4 + 2 + 1
+    assert len(people) == 3 and len(keys) == 3 + 5 + 4 + 2 + 1 + 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
