@@ -7,6 +7,7 @@ numbers as bigint, so that both engines return the same column types.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 import uuid
 from collections.abc import Callable
@@ -91,6 +92,14 @@ def _published(spark: SparkSession, folder: str):
     return store
 
 
+def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """Features as of a month earlier, refreshed to the current date."""
+    store = feature_store(spark, f"{shared_folder(spark)}/features-{uuid.uuid4().hex}")
+    for as_of in (AS_OF - dt.timedelta(days=30), AS_OF):
+        store.publish(features_of(_clean(spark, folder), as_of))
+    return store.read()
+
+
 def _customer_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Look up the customer with the highest id among those with features."""
     store = _published(spark, folder)
@@ -248,6 +257,7 @@ def queries() -> dict[str, Query]:
         "features_gap": lambda s, d: plans.features_gap(_amounts(s, d)),
         "features_view": _view,
         "materialized_read": lambda s, d: _published(s, d).read(),
+        "features_refresh": _refreshed,
         "customer_lookup": _customer_lookup,
         "geo_by_state": lambda s, d: reports.geo_by_state(*_fan_out(s, d)),
         "geo_by_spend": lambda s, d: reports.geo_by_spend(*_fan_out(s, d)),

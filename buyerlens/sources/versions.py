@@ -24,6 +24,10 @@ _MANIFEST = T.StructType([
 ])
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """A parquet table under ``root``, sorted by ``key`` for lookups."""
@@ -40,26 +44,35 @@ class VersionedTable:
         """Write a new version, make it the current one and return its folder.
 
         Rows are range-partitioned and sorted by key: min/max statistics and a
-        Bloom filter on the key let a lookup skip nearly all row groups.
+        Bloom filter on the key let a lookup skip nearly all row groups. A version
+        in which a key repeats is refused and never becomes current. The stamp is
+        that of the end of the write, so a long refresh that ends last counts as newest.
         """
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        folder = f"{self.root}/version-{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        folder = f"{self.root}/version-{_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         (
             df.repartitionByRange(self.key)
             .sortWithinPartitions(self.key)
             .write.option(f"parquet.bloom.filter.enabled#{self.key}", "true")
             .parquet(folder)
         )
-        entry = self.spark.createDataFrame([(now, folder, df.schema.json())], _MANIFEST)
+        keys = self.spark.read.schema(df.schema).parquet(folder).groupBy(self.key).count()
+        if (repeated := keys.where("count > 1").first()) is not None:
+            raise ValueError(f"{self.key} {repeated[0]!r} has {repeated[1]} rows in {folder}")
+        entry = self.spark.createDataFrame([(_now(), folder, df.schema.json())], _MANIFEST)
         entry.coalesce(1).write.mode("append").parquet(self._manifest)
         return folder
 
     def _current(self) -> Row:
         try:
             published = self.spark.read.schema(_MANIFEST).parquet(self._manifest)
-            return published.orderBy(F.desc("published_at"), F.desc("folder")).first()
         except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise LookupError(f"nothing published under {self.root}") from missing
+        newest = published.orderBy(F.desc("published_at"), F.desc("folder")).first()
+        if newest is None:  # a first publication that did not end
+            raise LookupError(f"nothing published under {self.root}")
+        return newest
 
     def current_folder(self) -> str:
         return self._current().folder

@@ -71,6 +71,22 @@ def test_failed_refresh_leaves_the_current_version(spark, tmp_path):
     assert [r.total_spent for r in store.read().collect()] == [1]
 
 
+def test_repeated_key_is_refused(spark, tmp_path):
+    store = feature_store(spark, str(tmp_path / "store"))
+    columns = "customer_unique_id string, total_spent int"
+    store.publish(spark.createDataFrame([("P", 1)], columns))
+    with pytest.raises(ValueError, match="'Q' has 2 rows"):
+        store.publish(spark.createDataFrame([("Q", 1), ("Q", 2)], columns))
+    assert [r.total_spent for r in store.read().collect()] == [1]
+
+
+def test_empty_manifest_means_nothing_published(spark, tmp_path):
+    store = feature_store(spark, str(tmp_path / "store"))
+    (tmp_path / "store" / "manifest").mkdir(parents=True)
+    with pytest.raises(LookupError):
+        store.read()
+
+
 def test_lookup_reaches_the_scan(spark, tmp_path):
     store = feature_store(spark, str(tmp_path / "store"))
     store.publish(spark.range(1000).selectExpr("CAST(id AS STRING) AS customer_unique_id", "id AS total_spent"))
