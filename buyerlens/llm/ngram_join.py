@@ -298,24 +298,26 @@ def _side(entries: DataFrame, name: str, *more: str) -> DataFrame:
     return entries.select("entry", F.col("key").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "m", *more)))
 
 
-def _pivots(members: DataFrame, number: int) -> DataFrame:
-    """One member per entry to compare the others with: one of the most central, another for each number.
+def _pivots(members: DataFrame) -> DataFrame:
+    """Of each entry, ``PICKS`` members to compare the others with: the first is one of the most central, each later one less so.
 
     Entries fall into four kinds, so that a group with many entries in common is
     compared with a few pivots, not with one per entry.
     """
-    shift = F.pmod(F.xxhash64("key", F.pmod("entry", F.lit(4)), F.lit(number)), F.lit(4 * number + 1))
-    rank = F.struct((F.col("n") - F.col("m") + shift).alias("rank"), F.xxhash64("key", F.lit(number)).alias("h"), "key", "n", "m", "c")
-    found = members.groupBy("entry").agg(F.min(rank).alias("p"))
-    return found.select("entry", *(F.col(f"p.{x}").alias(f"{x}_a") for x in ("n", "m", "c")), F.col("p.key").alias("a"))
+    def pick(number: int):
+        shift = F.pmod(F.xxhash64("key", F.pmod("entry", F.lit(4)), F.lit(number)), F.lit(4 * number + 1))
+        best = F.min(F.struct((F.col("n") - F.col("m") + shift).alias("rank"), F.xxhash64("key", F.lit(number)).alias("h"), "key", "n", "m", "c"))
+        return F.struct(best["key"].alias("a"), *(best[x].alias(f"{x}_a") for x in ("n", "m", "c")))
 
+    return members.groupBy("entry").agg(F.array_distinct(F.array(*(pick(k) for k in range(PICKS)))).alias("picks"))
 
-def _open(members: DataFrame, links: DataFrame | None) -> DataFrame:
+
+def _open(members: DataFrame, label: DataFrame | None) -> DataFrame:
     """The members, with their components, of entries that hold several components."""
-    if links is None:
+    if label is None:
         labelled = members.withColumn("c", F.col("key"))
     else:
-        labelled = members.drop("c").join(components(links), F.col("key") == F.col("node"), "left").select(
+        labelled = members.drop("c").join(label, F.col("key") == F.col("node"), "left").select(
             "entry", "key", "n", "m", F.coalesce("component", "key").alias("c"))
     mixed = written(labelled.groupBy("entry").agg(F.min("c").alias("low"), F.max("c").alias("high")).where(
         "low <> high").select("entry"), "mixed")
@@ -335,18 +337,15 @@ def _bitmaps(batches):
         yield pa.RecordBatch.from_arrays(columns, names=["key", *(f"b{k}" for k in range(BITMAP_WORDS))])
 
 
-def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that connect every component; pairs already connected are not compared."""
+def _labels(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked sets (node) and their components; pairs already connected are not compared."""
     open_ = _open(entries, None)
-    members = _side(open_, "b", "c")
-    pairs = None
-    for number in range(PICKS):
-        own = members.join(_pivots(open_, number), "entry").where("c_a <> c_b").where(_possible(percent))
-        own = own.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = own if pairs is None else pairs.union(own)
-    tried = written(pairs.distinct(), "pairs")
-    links = written(_verified(tried, sets, percent), "links")
-    open_ = _open(open_, links)
+    pairs = _side(open_, "b", "c").join(_pivots(open_), "entry").select(
+        "b", "n_b", "m_b", "c_b", F.explode("picks").alias("p")).select("b", "n_b", "m_b", "c_b", "p.*")
+    pairs = pairs.where("c_a <> c_b").where(_possible(percent))
+    tried = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    near = written(components(_verified(tried, sets, percent)), "near")
+    open_ = _open(open_, near)
     # What is still apart is compared in pairs, unless the bitmaps show that too few shingles are common.
     names = [f"b{k}" for k in range(BITMAP_WORDS)]
     maps = sets.select("key", "tokens").mapInArrow(_bitmaps, "key long, " + ", ".join(f"{x} long" for x in names))
@@ -355,7 +354,15 @@ def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     enough = f"{100 + percent} * (m_a + m_b - ({differ})) >= {2 * percent} * (n_a + n_b)"
     rest = _side(open_, "a", "c", *names).join(_side(open_, "b", "c", *names), "entry")
     rest = rest.where("a < b AND c_a <> c_b").where(_possible(percent)).where(enough).select("a", "b").distinct()
-    return links.union(_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent))
+    late = _verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent)
+    # The late links tie whole components together, so their graph has those as its nodes.
+    for x in "ab":
+        own = near.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+        late = late.join(own, x, "left").withColumn(f"c_{x}", F.coalesce(f"c_{x}", x))
+    tied = written(components(late.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))), "tied")
+    new = tied.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    moved = near.join(new, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return moved.union(tied.join(near, "node", "left_anti"))
 
 
 def ngram_jaccard_components(
@@ -384,7 +391,7 @@ def ngram_jaccard_components(
         sets.repartition(shuffle_partitions(spark)).mapInArrow(_index(percent), "entry long, key long, n int, m int"),
         "index",
     )
-    label = components(_links(entries, sets, percent))
+    label = _labels(entries, sets, percent)
 
     group = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     group = group.join(label, F.col("key") == F.col("node"), "left").where("copies > 1 OR node IS NOT NULL")

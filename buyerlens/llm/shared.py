@@ -113,6 +113,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     seen = None
     for _ in range(rounds):
         around = both(edges)

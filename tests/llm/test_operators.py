@@ -40,6 +40,25 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+@pytest.mark.parametrize("picks", [1, 4])
+def test_jaccard_chains(spark, monkeypatch, picks):
+    """Chains whose ends are far apart, so that pivots leave much of them for pairs."""
+    monkeypatch.setattr(ngram_join, "PICKS", picks)
+    chains = []
+    for chain in range(3):
+        words = [f"c{chain}w{k}" for k in range(120)]
+        for step in range(14):
+            words[step * 8] = f"new{step}"
+            chains.append(" ".join(words))
+    order = random.Random(picks).sample(range(len(chains)), len(chains))
+    rows = [(order[k], t) for k, t in enumerate(chains)]
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85).collect()}
+    for chain in range(3):
+        own = order[14 * chain: 14 * chain + 14]
+        assert {got[i] for i in own} == {min(own)}
+
+
 def test_jaccard_components(docs, empty):
     lowered = {}
     for row, (i, t) in enumerate(texts()):
