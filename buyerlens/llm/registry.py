@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from buyerlens.llm.centroids import OP11_SQL, op11_centroid_clustering
 from buyerlens.llm.chat_format import OP8_SQL, op8_chat_format
 from buyerlens.llm.decontaminate import op4_decontaminate
 from buyerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 ORACLES = {
     "op2_url_filter": OP2_SQL,
     "op8_chat_format": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_centroid_clustering": OP11_SQL,
 }
