@@ -9,6 +9,7 @@ from buyerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from buyerlens.llm.lm_score import op7_lm_score
 from buyerlens.llm.ngram_join import op1_ngram_jaccard_join
 from buyerlens.llm.packing import op3_packing
+from buyerlens.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from buyerlens.llm.quality import op6_quality_classifier
 from buyerlens.llm.secrets import op10_secret_scan
 from buyerlens.llm.substring_dedup import op5_substring_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -33,4 +35,5 @@ ORACLES = {
     "op8_chat_format": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op11_centroid_clustering": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
