@@ -13,6 +13,7 @@ from buyerlens.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from buyerlens.llm.quality import op6_quality_classifier
 from buyerlens.llm.secrets import op10_secret_scan
 from buyerlens.llm.substring_dedup import op5_substring_dedup
+from buyerlens.llm.suffix_dedup import op12_suffix_dedup
 from buyerlens.llm.url_filter import OP2_SQL, op2_url_filter
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
