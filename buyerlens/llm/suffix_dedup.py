@@ -15,8 +15,8 @@ content stays. The batch then becomes the smallest level, and while the two smal
 levels are of equal size they are merged into one of twice the size. Equal keys of different
 bytes only cost a comparison more.
 
-A hash that holds more than its share of all runs (``1 / (8 * parts)``; there are at most
-8 * parts of those) would overload a part: text around one passage that very many documents
+A hash that holds more than its share of all runs (``1 / (share * parts)``; there are at most
+``share * parts`` of those) would overload a part: text around one passage that very many documents
 hold. Its windows travel one by one as two 64-bit hashes, dealt by these, and are equal if both
 agree. So no part receives more than about its share, but for rows that each slice sends once.
 
@@ -31,8 +31,8 @@ a long one in pieces that overlap by a window.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +43,9 @@ from pyspark.sql import functions as F
 from buyerlens.llm.shared import dealt, from_planes, parts, planes, table, written
 from buyerlens.llm.words import U, hash_runs, mix, text_bytes
 
-LENGTH = 400
-GRAM = 64
-FILTER_BITS = 26  # of the table that tells which hashes occur again; a full one only sends more
-BATCH_BYTES = 4 << 20
-SLICE_BYTES = 2 << 20
 _BLOCK_BITS = 15
 _PARTS_PER_TASK = 4
+_FEW = 64  # regions that a hash may hold in any case
 
 COUNTS = "print long, places int, kinds int"
 # kind 0: regions of text; 1: windows known to be repeated, as runs; 2: single windows as two hashes.
@@ -57,23 +53,34 @@ PACKED = "part int, kind int, text binary, sizes binary, one binary, two binary,
 SPANS = "one long, two long, spans binary"
 
 
-def _slices(column: pa.Array, length: int):
-    """(bytes, bounds of the texts in them, rows, places) of about ``SLICE_BYTES``; a longer text comes in overlapping pieces."""
+class Shape(NamedTuple):
+    """Sizes; results depend on ``length`` alone."""
+
+    length: int = 400  # of a window
+    gram: int = 64  # of the strings whose smallest hash deals windows to parts
+    slice_bytes: int = 2 << 20  # of text that is read at once
+    batch_bytes: int = 4 << 20  # of regions that get a suffix array of their own
+    filter_bits: int = 26  # of the table that tells which hashes occur again; a full one only sends more
+    share: int = 8  # a hash with more than 1 / (share * parts) of all runs is dealt window by window
+
+
+def _slices(column: pa.Array, shape: Shape):
+    """(bytes, bounds of the texts in them, rows, places) of about ``slice_bytes``; a longer text comes in overlapping pieces."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
         return
     offsets, data = text_bytes(column)
-    at = 0
+    at, step = 0, shape.slice_bytes
     while at < len(column):
         size = int(offsets[at + 1] - offsets[at])
-        if size > SLICE_BYTES:
-            for a in range(0, size - length + 1, SLICE_BYTES):
-                piece = data[offsets[at] + a: offsets[at] + min(size, a + SLICE_BYTES + length - 1)]
+        if size > step:
+            for a in range(0, size - shape.length + 1, step):
+                piece = data[offsets[at] + a: offsets[at] + min(size, a + step + shape.length - 1)]
                 yield piece, np.array([0, len(piece)]), np.array([at]), np.array([a])
             at += 1
             continue
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + step, side="right")) - 1
         to = min(max(to, at + 1), len(column))
         yield data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at], np.arange(at, to), np.zeros(to - at, dtype=np.int64)
         at = to
@@ -95,10 +102,10 @@ def stretches(flags: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(flags & apart[:-1]), np.flatnonzero(flags & apart[1:])
 
 
-def runs_of(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def runs_of(data: np.ndarray, bounds: np.ndarray, shape: Shape) -> tuple[np.ndarray, ...]:
     """(start, number of windows, smallest hash, text) of each run of windows, and the hashes of all short strings."""
     none = np.zeros(0, dtype=np.int64)
-    gram = min(GRAM, length)
+    length, gram = shape.length, min(shape.gram, shape.length)
     n = len(data) - length + 1
     if n <= 0:
         return none, none, none.astype(U), none, none.astype(U)
@@ -256,7 +263,7 @@ def merged(a: Level, b: Level) -> Level:
 class Family:
     """Levels of geometric size."""
 
-    def __init__(self, length: int = LENGTH):
+    def __init__(self, length: int):
         self.length, self.levels = length, []
 
     def add(self, batch: Level) -> None:
@@ -276,19 +283,19 @@ class Family:
             yield level.one[run], level.two[run], start, start + last - first + self.length
 
 
-def _counts(length: int):
+def _counts(shape: Shape):
     """At how many places, and in how many regions of different content, each slice holds a hash."""
     def run(batches):
         for batch in batches:
-            for data, bounds, _, _ in _slices(batch.column(0), length):
-                first, number, smallest, _, grams = runs_of(data, bounds, length)
+            for data, bounds, _, _ in _slices(batch.column(0), shape):
+                first, number, smallest, _, grams = runs_of(data, bounds, shape)
                 if not len(first):
                     continue
                 # A run whose smallest hash stands at several places may repeat within itself.
-                width = number + length - min(GRAM, length)
+                width = number + shape.length - min(shape.gram, shape.length)
                 found = grams[_ranges(first, width)] == np.repeat(smallest, width)
                 places = np.add.reduceat(found.astype(np.int32), np.cumsum(width) - width)
-                content = hash_runs(data, first, first + number + length - 1, False)
+                content = hash_runs(data, first, first + number + shape.length - 1, False)
                 order = np.lexsort((content, smallest))
                 s, c = smallest[order], content[order]
                 new = np.ones(len(s), dtype=bool)
@@ -307,11 +314,12 @@ def _counts(length: int):
 class _Filter:
     """Which hashes occur again, and which hold more than their share."""
 
-    def __init__(self, texts: DataFrame, n_parts: int, length: int, bits: int):
-        prints = written(texts.select("text").mapInArrow(_counts(length), COUNTS).groupBy("print").agg(
+    def __init__(self, texts: DataFrame, n_parts: int, shape: Shape):
+        bits, most = shape.filter_bits, shape.share * n_parts
+        prints = written(texts.select("text").mapInArrow(_counts(shape), COUNTS).groupBy("print").agg(
             F.sum("places").alias("places"), F.sum("kinds").alias("kinds")).where("places > 1"), "prints")
         total = prints.agg(F.sum("kinds")).first()[0] or 0
-        hot = prints.where(F.col("kinds") * (8 * n_parts) > total + 8 * n_parts * 64).select("print").collect()
+        hot = prints.where(F.col("kinds") * most > total + most * _FEW).select("print").collect()
         self.hot = np.sort(np.array([r["print"] for r in hot], dtype=np.int64).view(U))
         slot = F.col("print").bitwiseAND(F.lit((1 << bits) - 1))
         low = min(bits, _BLOCK_BITS)
@@ -358,14 +366,16 @@ def _group(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
     return lead, np.bincount(lead, minlength=len(starts))[lead] > 1
 
 
-def _deal(shared, n_parts: int, length: int):
+def _deal(shared, n_parts: int, shape: Shape):
+    length = shape.length
+
     def run(batches):
         filter_ = shared.value
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ones, twos = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for data, bounds, rows, bases in _slices(batch.column(2), length):
-                first, number, smallest, text, _ = runs_of(data, bounds, length)
+            for data, bounds, rows, bases in _slices(batch.column(2), shape):
+                first, number, smallest, text, _ = runs_of(data, bounds, shape)
                 keep = filter_.again(smallest)
                 first, number, smallest, text = (x[keep] for x in (first, number, smallest, text))
                 if not len(first):
@@ -425,8 +435,10 @@ def _hot_windows(data, first, number, one, two, where, n_parts: int, length: int
     return out
 
 
-def _find(length: int, batch_bytes: int):
+def _find(shape: Shape):
     """Index the regions of each part and give back the repeated spans of its documents."""
+    length = shape.length
+
     def spans(found: list[tuple]):
         if not found:
             return
@@ -464,7 +476,7 @@ def _find(length: int, batch_bytes: int):
                 raw = open_.decompress(text)
                 held.append((raw, sizes, one, two, starts, known))
                 size += len(raw)
-                if size >= batch_bytes:
+                if size >= shape.batch_bytes:
                     family.add(index(held))
                     held, size = [], 0
         if held:
@@ -513,13 +525,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(2), text, F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("two"))
 
 
-def repeated_spans(keyed: DataFrame, length: int = LENGTH, filter_bits: int = FILTER_BITS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def repeated_spans(keyed: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """(one, two, spans): for documents that hold repeated windows, pairs of start and stop as bytes."""
     spark = keyed.sparkSession
     n_parts = _PARTS_PER_TASK * parts(spark)
-    shared = spark.sparkContext.broadcast(_Filter(keyed, n_parts, length, filter_bits))
-    packed = dealt(keyed.select("one", "two", "text").mapInArrow(_deal(shared, n_parts, length), PACKED))
-    found = packed.mapInArrow(_find(length, batch_bytes), SPANS)
+    shared = spark.sparkContext.broadcast(_Filter(keyed, n_parts, shape))
+    packed = dealt(keyed.select("one", "two", "text").mapInArrow(_deal(shared, n_parts, shape), PACKED))
+    found = packed.mapInArrow(_find(shape), SPANS)
     return found.groupBy("one", "two").agg(F.collect_list("spans").alias("spans"))
 
 
@@ -534,10 +546,10 @@ def covered(spans: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
     return pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, filter_bits: int = FILTER_BITS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes, which may cut a character)."""
     keyed = _keyed(docs)
-    spans = repeated_spans(keyed, length, filter_bits, batch_bytes)
+    spans = repeated_spans(keyed, shape)
     both = keyed.join(spans, ["one", "two"], "left").select("doc_id", "text", "spans")
 
     def cut(batches):
