@@ -233,8 +233,9 @@ def trie_nodes(turns: DataFrame, convs: DataFrame, limit: int = LIMIT) -> tuple[
     root = groups.select("rep", F.lit(0).cast("long").alias("pos"), F.lit(b"").alias("turn_id"), F.lit(0).cast("long").alias("chars"))
     rep_turns = written(root.unionByName(rep_turns.withColumnRenamed("conv_id", "rep")), "rep-turns")
 
-    state = groups.select(
-        "rep", "n", "length", F.lit(b"").alias("head"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent"))
+    state = written(groups.select(
+        "rep", "n", "length", F.lit(b"").alias("head"), F.lit(0).cast("long").alias("depth"),
+        F.lit(None).cast("long").alias("parent")), "state")
     nodes = spark.createDataFrame([], NODES)
     swept: list[DataFrame] = []
     bursts: list[_Burst] = []
