@@ -37,10 +37,19 @@ MAX_ITEMS = 20_000
 BLOCK = 16
 K1, B = 1.2, 0.75
 _SHORTEST = 32
+_LEVEL = 1 - 1e-9  # scores are shares of an item's level
+_AT_ONCE = 1 << 20  # words of passages that are looked up at once
+_SEEN_BITS = 16
+_SEEN_MASK = U((1 << _SEEN_BITS) - 1)
 
 MATCHES = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges that begin at ``starts``."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 def _item_runs(w: Words, a: int, b: int) -> np.ndarray:
     """Runs of the words from a to b; all of them as one run if they are fewer than a run."""
     n = min(RUN, b - a)
@@ -86,66 +95,113 @@ class ItemIndex:
         edge = np.flatnonzero(edge)
         self.block, self.block_most = blocks[edge], np.maximum.reduceat(self.weights, edge)
         self.block_at = np.searchsorted(edge, self.at)
+        self.edge = np.append(edge, len(terms))
         self.n_blocks = len(rows) // BLOCK + 1
 
-    def _gather(self, at: np.ndarray, found: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.arange(at[t], at[t + 1]) for t in found])
+    def candidates(self, lo: np.ndarray, hi: np.ndarray, terms: np.ndarray):
+        """(passage, item, score) of all that reach an item's level; ``terms[lo:hi]`` are the words of a passage that items hold.
+
+        All passages of a slice go through the bounds at once: first the maxima of their
+        distinct terms, then those of each block, and last the items of the blocks that are left.
+        """
+        most = np.concatenate(([0.0], np.cumsum(self.most[terms])))
+        likely = np.flatnonzero(most[hi] - most[lo] >= _LEVEL)
+        sizes = hi[likely] - lo[likely]
+        at = 0
+        while at < len(likely):  # some passages at a time, so that their postings stay few
+            to = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), _AT_ONCE)) + at)
+            own = np.repeat(np.arange(at, to), sizes[at:to])
+            pair = np.unique(own * len(self.terms) + terms[ranges(lo[likely[at:to]], sizes[at:to])])
+            own, term = np.divmod(pair, len(self.terms))
+            enough = np.bincount(own, self.most[term], to) >= _LEVEL
+            own, term = own[enough[own]], term[enough[own]]
+            number = self.block_at[term + 1] - self.block_at[term]
+            posting = ranges(self.block_at[term], number)
+            key, place = np.unique(np.repeat(own, number) * self.n_blocks + self.block[posting], return_inverse=True)
+            enough = np.bincount(place, self.block_most[posting], len(key)) >= _LEVEL
+            own, posting = np.repeat(own, number)[enough[place]], posting[enough[place]]
+            number = self.edge[posting + 1] - self.edge[posting]
+            posting = ranges(self.edge[posting], number)
+            key, place = np.unique(np.repeat(own, number) * len(self.ids) + self.items[posting], return_inverse=True)
+            score = np.bincount(place, self.weights[posting], len(key))
+            found = np.flatnonzero(score >= _LEVEL)
+            yield from zip(likely[key[found] // len(self.ids)].tolist(), (key[found] % len(self.ids)).tolist(), score[found].tolist())
+            at = to
+
+    def shares(self, item: int, a: int, b: int, runs) -> list[float]:
+        """The shares of the item's question and answer that the words from a to b hold."""
+        out = []
+        for part in (self.question[item], self.answer[item]):
+            n = RUN
+            if len(part) == 1 and not np.isin(part, runs(RUN)[a: max(a, b - RUN + 1)]).any():
+                n = next((m for m in self.short if np.isin(part, runs(m)[a: max(a, b - m + 1)]).any()), RUN)
+            out.append(float(np.isin(part, runs(n)[a: max(a, b - n + 1)]).mean()))
+        return out
+
+
+class Index:
+    """The items of all length groups over one vocabulary."""
+
+    def __init__(self, groups: list[ItemIndex]):
+        self.groups = groups
+        self.words = np.unique(np.concatenate([g.terms for g in groups]))
+        self.seen = np.zeros(1 << _SEEN_BITS, dtype=bool)  # most words are told apart by some of their bits
+        self.seen[(self.words & _SEEN_MASK).astype(np.int64)] = True
+        self.slots = []
+        for g in groups:
+            slot = np.full(len(self.words), -1, dtype=np.int64)
+            slot[np.searchsorted(self.words, g.terms)] = np.arange(len(g.terms))
+            self.slots.append(slot)
+
+    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words that items hold, and their numbers in the vocabulary."""
+        places = np.flatnonzero(self.seen[(hashes & _SEEN_MASK).astype(np.int64)])
+        number = np.minimum(np.searchsorted(self.words, hashes[places]), len(self.words) - 1)
+        same = self.words[number] == hashes[places]
+        return places[same], number[same]
 
     def matches(self, w: Words):
-        """(row, item, score, question, answer) of each passage that holds enough of an item."""
+        """(row, group, item, score, question, answer) of each passage that holds enough of an item."""
         if not len(w.hashes):
             return
-        place = np.searchsorted(self.terms, w.hashes)
-        place[place == len(self.terms)] = 0
-        known = self.terms[place] == w.hashes
-        bound = np.concatenate(([0.0], np.cumsum(np.where(known, self.most[place], 0.0))))
-        passages = np.maximum(1, -(-w.counts // self.reach) - 1)
-        row = np.repeat(np.arange(w.n_rows), passages)
-        number = np.arange(len(row)) - np.repeat(np.cumsum(passages) - passages, passages)
-        first = w.bounds[:-1][row] + number * self.reach
-        last = np.minimum(first + 2 * self.reach, w.bounds[1:][row])
-        likely = np.flatnonzero(bound[last] - bound[first] >= 1 - 1e-9)
-        if not len(likely):
-            return
-        runs = {n: w.grams(n)[0] for n in {RUN, *self.short}}
-        for p in likely.tolist():
-            a, b = int(first[p]), int(last[p])
-            found = np.unique(place[a:b][known[a:b]])
-            if self.most[found].sum() < 1 - 1e-9:
-                continue
-            at = self._gather(self.block_at, found)
-            blocks = np.bincount(self.block[at], self.block_most[at], self.n_blocks) >= 1 - 1e-9
-            if not blocks.any():
-                continue
-            at = self._gather(self.at, found)
-            at = at[blocks[self.items[at] // BLOCK]]
-            scores = np.bincount(self.items[at], self.weights[at])
-            for item in np.flatnonzero(scores >= 1 - 1e-9).tolist():
-                share = []
-                for part in (self.question[item], self.answer[item]):
-                    n = RUN
-                    if len(part) == 1 and not np.isin(part, runs[RUN][a: max(a, b - RUN + 1)]).any():
-                        n = next((m for m in self.short if np.isin(part, runs[m][a: max(a, b - m + 1)]).any()), RUN)
-                    share.append(float(np.isin(part, runs[n][a: max(a, b - n + 1)]).mean()))
-                if min(share) >= self.overlap - 1e-9:
-                    yield int(row[p]), item, float(scores[item]), *share
-
-
-def build_indexes(ids: list, texts: list[str], overlap: float = OVERLAP) -> list[ItemIndex]:
+        places, number = self.known(w.hashes)
+        grams: dict[int, np.ndarray] = {}
+
+        def runs(n: int) -> np.ndarray:
+            if n not in grams:
+                grams[n] = w.grams(n)[0]
+            return grams[n]
+
+        for g, (group, slot) in enumerate(zip(self.groups, self.slots)):
+            terms = slot[number]
+            own = terms >= 0
+            terms, at = terms[own], places[own]
+            passages = np.maximum(1, -(-w.counts // group.reach) - 1)
+            row = np.repeat(np.arange(w.n_rows), passages)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(passages) - passages, passages)
+            first = w.bounds[:-1][row] + place * group.reach
+            last = np.minimum(first + 2 * group.reach, w.bounds[1:][row])
+            for p, item, score in group.candidates(np.searchsorted(at, first), np.searchsorted(at, last), terms):
+                share = group.shares(item, int(first[p]), int(last[p]), runs)
+                if min(share) >= group.overlap - 1e-9:
+                    yield int(row[p]), g, item, score, *share
+
+
+def build_index(ids: list, texts: list[str], overlap: float = OVERLAP) -> Index | None:
     slices = list(words_of(pa.array([t or "" for t in texts], pa.string()).cast(pa.large_string()), True, PLAIN_WORDS))
     if not slices:
-        return []
+        return None
     # One Words for all items: they are few.
     bounds = np.concatenate(([0], np.cumsum(np.concatenate([w.counts for w in slices]))))
     w = Words(0, bounds, np.concatenate([x.hashes for x in slices]), slices[0].data, bounds, bounds)
     rows = np.flatnonzero(w.counts > 0)
     if not len(rows):
-        return []
+        return None
     held = np.unique(np.stack([w.rows().astype(U), w.hashes]), axis=1)[1]
     terms, df = np.unique(held, return_counts=True)
     idf = dict(zip(terms.tolist(), np.log1p((len(rows) - df + 0.5) / (df + 0.5)).tolist()))
     group = np.array([max(int(_SHORTEST).bit_length() - 1, int(n - 1).bit_length()) for n in w.counts[rows]])
-    return [ItemIndex(ids, w, rows[group == g], idf, float(w.counts[rows].mean()), overlap) for g in np.unique(group)]
+    return Index([ItemIndex(ids, w, rows[group == g], idf, float(w.counts[rows].mean()), overlap) for g in np.unique(group)])
 
 
 def item_rounds(benchmark: DataFrame, overlap: float = OVERLAP, max_items: int = MAX_ITEMS):
@@ -154,19 +210,18 @@ def item_rounds(benchmark: DataFrame, overlap: float = OVERLAP, max_items: int =
     rounds = -(-items.count() // max_items)
     for k in range(rounds):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).collect()
-        found = build_indexes([r["item_id"] for r in own], [r["text"] for r in own], overlap)
+        found = build_index([r["item_id"] for r in own], [r["text"] for r in own], overlap)
         if found:
             yield found
 
 
-def _best(indexes: list[ItemIndex], column: pa.Array):
-    """(text, item id) -> best (score, question, answer) over the passages of a text."""
+def _best(index: Index, column: pa.Array):
+    """(text, group, item) -> best (score, question, answer) over the passages of a text."""
     best: dict[tuple, tuple] = {}
     for w in words_of(column, True, PLAIN_WORDS):
-        for g, index in enumerate(indexes):
-            for row, item, *values in index.matches(w):
-                key = (w.first + row, g, item)
-                best[key] = max(best.get(key, (0.0, 0.0, 0.0)), tuple(values))
+        for row, g, item, *values in index.matches(w):
+            key = (w.first + row, g, item)
+            best[key] = max(best.get(key, (0.0, 0.0, 0.0)), tuple(values))
     return best
 
 
@@ -181,10 +236,10 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, overlap: float = OV
         def run(batches, shared=shared):
             names = [x.split()[0] for x in MATCHES.split(", ")]
             for batch in batches:
-                indexes, ids = shared.value, batch.column(0)
-                best = _best(indexes, batch.column(1))
+                index, ids = shared.value, batch.column(0)
+                best = _best(index, batch.column(1))
                 if best:
-                    rows = [(ids[r].as_py(), indexes[g].ids[i], *v) for (r, g, i), v in best.items()]
+                    rows = [(ids[r].as_py(), index.groups[g].ids[i], *v) for (r, g, i), v in best.items()]
                     kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 3]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
