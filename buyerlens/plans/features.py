@@ -5,6 +5,13 @@ sums over counts. The trend and the gap are means of differences between
 successive orders, and such a sum telescopes: it is the last value minus the
 first. Both are therefore plain aggregates that combine before the shuffle, and
 no customer's history has to be sorted in one task.
+
+Distinct categories are counted with bitmaps: categories are numbered once, an
+item carries the bit of its product's category, and bits are or-ed along with
+the sums, by order and then by person, before either shuffle. So categories
+need no shuffle of their own, and all nine measures come out of one pass over each table:
+``person_state`` holds what they need, and two states of the same people can be
+merged (``merged_states``), as every column of it is a sum, a first, a last or a bitmap.
 """
 
 from __future__ import annotations
@@ -15,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.functions.numbers import cents, from_units, percentage, ratio
+from buyerlens.operators.categories import CategoryBits
 from buyerlens.operators.cleaning import DELIVERED
 from buyerlens.sources.schemas import MONEY
 
@@ -159,9 +167,28 @@ def _review_sums() -> list[Column]:
 
 
 def features_diversity(
+    customers: DataFrame, orders: DataFrame, order_items: DataFrame, products: DataFrame,
+    bits: CategoryBits | None = None,
+) -> DataFrame:
+    """Distinct product categories bought, for people with an item whose product is known."""
+    bits = bits or CategoryBits.of(products)
+    if bits is None:
+        return diversity_by_distinct(customers, orders, order_items, products)
+    per_order = bits.on_items(order_items.select("order_id", "product_id"), products).groupBy("order_id").agg(*bits.merged())
+    return (
+        delivered_orders(customers, orders)
+        .join(per_order, "order_id")
+        .groupBy(_CUSTOMER)
+        .agg(*bits.merged())
+        .selectExpr(_CUSTOMER, f"{bits.count} AS category_diversity")
+        .where("category_diversity IS NOT NULL")
+    )
+
+
+def diversity_by_distinct(
     customers: DataFrame, orders: DataFrame, order_items: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Distinct product categories bought.
+    """The same count without bitmaps, for more categories than those can hold.
 
     Products, then categories are made distinct per order first: an order with very
     many items then reaches each join as a few rows. Its items would compress so well that
@@ -179,48 +206,83 @@ def features_diversity(
     )
 
 
-def _spending_and_reviews(
+def order_totals(order_items: DataFrame, products: DataFrame, bits: CategoryBits | None) -> DataFrame:
+    """Cents, number of items and, if given, category bits of each order, in one pass over the items.
+
+    The sums ride along with the bits, so the items meet the products once and leave
+    each map task as one row per order.
+    """
+    amount = f"CAST(price AS {_MONEY}) + CAST(freight_value AS {_MONEY})"
+    items = order_items.selectExpr("order_id", "order_item_id", "product_id", f"{cents(amount)} AS item_cents")
+    sums = [F.expr("SUM(item_cents) AS order_cents"), F.expr("COUNT(order_item_id) AS item_count")]
+    if bits is None:
+        return items.groupBy("order_id").agg(*sums)
+    return bits.on_items(items, products).groupBy("order_id").agg(*sums, *bits.merged())
+
+
+_WITH_ITEMS = "FILTER (WHERE item_count IS NOT NULL)"
+
+#: Columns of a state besides the person and the category bits, and how two of them merge.
+STATE = {
+    "frequency": "SUM(frequency)",
+    "cents": "SUM(cents)",
+    "first_order": "MIN(first_order)",
+    "last_order": "MAX(last_order)",
+    "score_sum": "SUM(score_sum)",
+    "score_count": "SUM(score_count)",
+    "negative_count": "SUM(negative_count)",
+}
+
+
+def person_state(
     customers: DataFrame,
     orders: DataFrame,
     order_items: DataFrame,
     order_reviews: DataFrame,
-    as_of: dt.date,
-    negative_score: int,
+    products: DataFrame,
+    negative_score: int = NEGATIVE_SCORE,
+    bits: CategoryBits | None = None,
 ) -> DataFrame:
-    """All features but the diversity, in one aggregation per person.
+    """What the features of each person need, with or without orders that hold items.
 
     Items and reviews are reduced to one row per order before they meet the
-    orders, and the three share one partitioning on the order.
+    orders, and the three share one partitioning on the order. The first and the last
+    order are structs of moment, id and cents, so that a plain minimum and maximum find them.
     """
     per_order = (
         delivered_orders(customers, orders)
-        .join(_order_cents(order_items), "order_id", "left")
+        .join(order_totals(order_items, products, bits), "order_id", "left")
         .join(review_totals(order_reviews, negative_score), "order_id", "left")
     )
-    with_items = "FILTER (WHERE item_count IS NOT NULL)"
-    return (
-        per_order.groupBy(_CUSTOMER)
-        .agg(
-            F.expr("COUNT(item_count) AS frequency"),
-            F.expr("SUM(order_cents) AS cents"),
-            F.expr(f"MAX({_STAMP}) {with_items} AS last_purchase"),
-            F.expr(f"MIN({_STAMP}) {with_items} AS first_purchase"),
-            F.expr(f"MAX_BY(order_cents, {_MOMENT}) {with_items} AS last_cents"),
-            F.expr(f"MIN_BY(order_cents, {_MOMENT}) {with_items} AS first_cents"),
-            *_review_sums(),
-        )
-        .where("frequency > 0")
-        .selectExpr(
-            _CUSTOMER,
-            f"{_recency(as_of, 'last_purchase')} AS recency_days",
-            "frequency",
-            f"{from_units('cents', 2)} AS total_spent",
-            f"{ratio('cents', 'frequency', 2, scale=2)} AS avg_basket",
-            f"{ratio('last_cents - first_cents', 'frequency - 1', 2, scale=2)} AS basket_trend",
-            f"{ratio(_days_between('first_purchase', 'last_purchase'), 'frequency - 1', 1)}"
-            " AS avg_days_between_orders",
-            *_SATISFACTION,
-        )
+    order = "STRUCT({0} AS at, order_id AS id, order_cents AS cents)".format(_STAMP)
+    return per_order.groupBy(_CUSTOMER).agg(
+        F.expr("COUNT(item_count) AS frequency"),
+        F.expr("SUM(order_cents) AS cents"),
+        F.expr(f"MIN({order}) {_WITH_ITEMS} AS first_order"),
+        F.expr(f"MAX({order}) {_WITH_ITEMS} AS last_order"),
+        *_review_sums(),
+        *(bits.merged() if bits else ()),
+    )
+
+
+def merged_states(states: DataFrame, bits: CategoryBits) -> DataFrame:
+    """One state per person of several over different orders."""
+    return states.groupBy(_CUSTOMER).agg(
+        *(F.expr(f"{merge} AS {name}") for name, merge in STATE.items()), *bits.merged())
+
+
+def features_of_state(state: DataFrame, diversity: str, as_of: dt.date = AS_OF) -> DataFrame:
+    """The nine features; ``diversity`` is the expression for the last one."""
+    return state.where("frequency > 0").selectExpr(
+        _CUSTOMER,
+        f"{_recency(as_of, 'last_order.at')} AS recency_days",
+        "frequency",
+        f"{from_units('cents', 2)} AS total_spent",
+        f"{ratio('cents', 'frequency', 2, scale=2)} AS avg_basket",
+        f"{ratio('last_order.cents - first_order.cents', 'frequency - 1', 2, scale=2)} AS basket_trend",
+        f"{ratio(_days_between('first_order.at', 'last_order.at'), 'frequency - 1', 1)} AS avg_days_between_orders",
+        *_SATISFACTION,
+        f"{diversity} AS category_diversity",
     )
 
 
@@ -235,12 +297,15 @@ def customer_features(
 ) -> DataFrame:
     """All nine features; equals the left join of the separate feature tables.
 
-    Both sides come out of their aggregations partitioned by person, so the
-    join adds no shuffle.
+    The categories are numbered when this is called. With more of them than bitmaps
+    hold, they are counted apart and joined on the person.
     """
-    spending = _spending_and_reviews(customers, orders, order_items, order_reviews, as_of, negative_score)
-    diversity = features_diversity(customers, orders, order_items, products)
-    return spending.join(diversity, _CUSTOMER, "left").select(*FEATURE_COLUMNS)
+    bits = CategoryBits.of(products)
+    state = person_state(customers, orders, order_items, order_reviews, products, negative_score, bits)
+    if bits is not None:
+        return features_of_state(state, bits.count, as_of)
+    diversity = diversity_by_distinct(customers, orders, order_items, products)
+    return features_of_state(state.join(diversity, _CUSTOMER, "left"), "category_diversity", as_of)
 
 
 def top_customers(features: DataFrame, n: int = 20) -> DataFrame:
