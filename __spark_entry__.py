@@ -11,6 +11,7 @@ import datetime as dt
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -27,7 +28,8 @@ from buyerlens.plans import quality, reports
 from buyerlens.plans.build import FEATURE_TABLES, clean_tables, feature_store, features_of, publish_view
 from buyerlens.session import shared_folder
 from buyerlens.sources import csv
-from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, standin_table, standin_tables
+from buyerlens.sources.schemas import TABLES
+from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, damaged_tables, standin_table, standin_tables
 from oracle_queries import ORACLES
 
 try:
@@ -183,17 +185,40 @@ def _view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT * FROM v_customer_features")
 
 
-def _whole_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
-    """Queries over all tables as delivered."""
+def _damaged_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    """Queries over deliveries that break rules of every kind."""
     return {
-        "row_counts": quality.row_counts,
         "pk_violations": integrity.key_violations,
         "fk_orphans": integrity.orphan_counts,
+        "key_report": integrity.key_report,
         "null_and_length_violations": integrity.null_and_length_violations,
         "check_violations": integrity.check_violations,
     }
 
 
+_ROW_KEYS = {t.name: [k for k in t.primary_key] for t in TABLES.values()}
+
+
+def _set_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Key and broken rules of every row that the quarantine sets aside."""
+    _, aside = integrity.quarantine(damaged_tables(spark, folder), f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}")
+    parts = [
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("/", *(F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in _ROW_KEYS[name])).alias("row_key"),
+            F.concat_ws("; ", integrity.BROKEN).alias("broken_rules"),
+        )
+        for name, df in aside.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _kept_by_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each table that the quarantine lets pass."""
+    sound, _ = integrity.quarantine(damaged_tables(spark, folder), f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}")
+    return quality.row_counts(sound)
+
+
 def _raw_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
     """Queries over the tables as delivered."""
     return {
@@ -250,6 +275,9 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "duplicate_count": lambda s, d: quality.duplicate_count(_review_versions(s, d), "review_id"),
         "dedup_latest": _items_latest,
+        "row_counts": lambda s, d: quality.row_counts(standin_tables(s, d)),
+        "quarantined_rows": _set_aside,
+        "quarantine_row_counts": _kept_by_quarantine,
         "strip_bom": _strip_bom,
         "insert_missing_translations": _extended_translations,
         "features_rfm": lambda s, d: plans.features_rfm(_amounts(s, d), AS_OF),
@@ -267,8 +295,8 @@ def queries() -> dict[str, Query]:
     }
     for table in ("customers", "sellers", "products", "orders", "order_items", "order_payments"):
         found[f"load_{table}"] = _load(table)
-    for name, query in _whole_queries().items():
-        found[name] = lambda s, d, query=query: query(standin_tables(s, d))
+    for name, query in _damaged_queries().items():
+        found[name] = lambda s, d, query=query: query(damaged_tables(s, d))
     for name, query in _raw_queries().items():
         found[name] = lambda s, d, query=query: query(_raw(s, d))
     for name, query in _clean_queries().items():

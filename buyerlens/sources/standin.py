@@ -120,3 +120,36 @@ def standin_tables(
 ) -> dict[str, DataFrame]:
     """The named tables, all eight by default."""
     return {name: standin_table(spark, folder, name, accounts_per_person) for name in names}
+
+
+# Deliveries that break every kind of rule: keys that repeat or miss, parents that are gone, values out of range.
+_DAMAGE: dict[str, tuple[str, list[str]]] = {
+    "customers": ("customer_id % 11 <> 0", ["IF(customer_id % 17 = 0, NULL, customer_city) AS customer_city"]),
+    "sellers": ("seller_id % 5 <> 0", ["IF(seller_id % 7 = 0, NULL, seller_id) AS seller_id"]),
+    "products": ("product_id % 13 <> 0", []),
+    "orders": ("order_id % 19 <> 0", ["IF(order_id % 23 = 0, 'a status of 21 signs.', order_status) AS order_status"]),
+    "order_items": ("TRUE", [
+        "CAST(IF(order_item_id = 7, -price, price) AS DECIMAL(10, 2)) AS price",
+        "CAST(IF(product_id % 50 = 0, -freight_value, freight_value) AS DECIMAL(10, 2)) AS freight_value",
+        "IF(product_id % 60 = 0, NULL, product_id) AS product_id",
+    ]),
+    "order_payments": ("TRUE", [
+        "IF(payment_sequential = 6, CAST(NULL AS INT), payment_sequential DIV 2) AS payment_sequential",
+    ]),
+    "order_reviews": ("TRUE", [
+        "CAST(review_score * 2 - 4 AS SMALLINT) AS review_score",
+        "IF(order_id % 29 = 0, NULL, review_creation_date) AS review_creation_date",
+    ]),
+}
+
+
+def damaged_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All eight tables with rows that break their rules; the customers come twice where the id ends in 3."""
+    found = {}
+    for name, df in standin_tables(spark, folder).items():
+        kept, changes = _DAMAGE.get(name, ("TRUE", []))
+        changed = {c.rsplit(" AS ", 1)[1]: c for c in changes}
+        found[name] = df.where(kept).selectExpr(*(changed.get(c, c) for c in df.columns))
+    customers = found["customers"]
+    found["customers"] = customers.unionByName(customers.where("customer_id % 10 = 3"))
+    return found

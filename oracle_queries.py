@@ -198,53 +198,145 @@ def _row_counts() -> str:
     ])
 
 
+# Deliveries that break rules, as the registered checks get them.
+DAMAGED = {
+    "customers": f"""
+        SELECT * REPLACE (CASE WHEN customer_id % 17 <> 0 THEN customer_city END AS customer_city)
+        FROM ({STANDIN['customers']}) AS c, (VALUES (1), (2)) AS copies(copy)
+        WHERE customer_id % 11 <> 0 AND (copy = 1 OR customer_id % 10 = 3)""",
+    "sellers": f"""
+        SELECT * REPLACE (CASE WHEN seller_id % 7 <> 0 THEN seller_id END AS seller_id)
+        FROM ({STANDIN['sellers']}) AS s WHERE seller_id % 5 <> 0""",
+    "products": f"SELECT * FROM ({STANDIN['products']}) AS p WHERE product_id % 13 <> 0",
+    "product_category_translation": STANDIN["product_category_translation"],
+    "orders": f"""
+        SELECT * REPLACE (CASE WHEN order_id % 23 = 0 THEN 'a status of 21 signs.' ELSE order_status END AS order_status)
+        FROM ({STANDIN['orders']}) AS o WHERE order_id % 19 <> 0""",
+    "order_items": f"""
+        SELECT * REPLACE (CASE WHEN order_item_id = 7 THEN -price ELSE price END AS price,
+                          CASE WHEN product_id % 50 = 0 THEN -freight_value ELSE freight_value END AS freight_value,
+                          CASE WHEN product_id % 60 <> 0 THEN product_id END AS product_id)
+        FROM ({STANDIN['order_items']}) AS i""",
+    "order_payments": f"""
+        SELECT * REPLACE (CASE WHEN payment_sequential <> 6 THEN payment_sequential // 2 END AS payment_sequential)
+        FROM ({STANDIN['order_payments']}) AS p""",
+    "order_reviews": f"""
+        SELECT * REPLACE (review_score * 2 - 4 AS review_score,
+                          CASE WHEN order_id % 29 <> 0 THEN review_creation_date END AS review_creation_date)
+        FROM ({STANDIN['order_reviews']}) AS r""",
+}
+
+# The declared keys, references, required columns, length limits and value rules.
+PRIMARY_KEYS = {
+    "customers": ["customer_id"],
+    "sellers": ["seller_id"],
+    "products": ["product_id"],
+    "product_category_translation": ["product_category_name"],
+    "orders": ["order_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "order_payments": ["order_id", "payment_sequential"],
+    "order_reviews": ["review_id"],
+}
+FOREIGN_KEYS = [
+    ("orders", "customer_id", "customers"),
+    ("order_items", "order_id", "orders"),
+    ("order_items", "product_id", "products"),
+    ("order_items", "seller_id", "sellers"),
+    ("order_payments", "order_id", "orders"),
+    ("order_reviews", "order_id", "orders"),
+]
+NOT_NULL = {
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "products": ["product_id"],
+    "product_category_translation": ["product_category_name", "product_category_name_english"],
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_estimated_delivery_date"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "order_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "order_reviews": ["review_id", "order_id", "review_score", "review_creation_date", "review_answer_timestamp"],
+}
+LENGTHS = {
+    "customers": {"customer_id": 32, "customer_unique_id": 32, "customer_zip_code_prefix": 5, "customer_city": 100, "customer_state": 2},
+    "sellers": {"seller_id": 32, "seller_zip_code_prefix": 5, "seller_city": 100, "seller_state": 2},
+    "products": {"product_id": 32, "product_category_name": 100},
+    "product_category_translation": {"product_category_name": 100, "product_category_name_english": 100},
+    "orders": {"order_id": 32, "customer_id": 32, "order_status": 20},
+    "order_items": {"order_id": 32, "product_id": 32, "seller_id": 32},
+    "order_payments": {"order_id": 32, "payment_type": 20},
+    "order_reviews": {"review_id": 32, "order_id": 32},
+}
+CHECKS = {
+    "order_items": {"price_not_negative": "price >= 0", "freight_not_negative": "freight_value >= 0"},
+    "order_reviews": {"score_in_range": "review_score BETWEEN 1 AND 5"},
+}
+
+
+def damaged(name: str) -> str:
+    return f"({DAMAGED[name]}) AS damaged_{name}"
+
+
 def _key_violations() -> str:
-    def one(name: str) -> str:
-        keys = TABLES[name].primary_key
+    def one(name: str, keys: list[str]) -> str:
         missing = " OR ".join(f"{k} IS NULL" for k in keys)
         return f"""
             SELECT '{name}' AS table_name, '{', '.join(keys)}' AS key_columns,
                    count(*) FILTER (WHERE n > 1 AND NOT missing) AS duplicate_keys,
                    CAST(coalesce(sum(n - 1) FILTER (WHERE NOT missing), 0) AS BIGINT) AS surplus_rows,
                    CAST(coalesce(sum(n) FILTER (WHERE missing), 0) AS BIGINT) AS null_key_rows
-            FROM (SELECT ({missing}) AS missing, count(*) AS n FROM {shop(name)} GROUP BY {', '.join(keys)}, 1)"""
+            FROM (SELECT ({missing}) AS missing, count(*) AS n FROM {damaged(name)} GROUP BY {', '.join(keys)}, 1)"""
 
-    return union_all([one(name) for name in STANDIN])
+    return union_all([one(name, keys) for name, keys in PRIMARY_KEYS.items()])
 
 
 def _orphans() -> str:
     return union_all([
         f"""
-            SELECT '{name}' AS table_name, '{key.column}' AS column_name, '{key.parent}' AS parent_table,
-                   count(DISTINCT {key.column}) AS orphan_keys, count(*) AS orphan_rows
-            FROM {shop(name)}
-            WHERE {key.column} IS NOT NULL
-              AND {key.column} NOT IN (SELECT {key.parent_column} FROM {shop(key.parent)})"""
-        for name in STANDIN for key in TABLES[name].foreign_keys
+            SELECT '{name}' AS table_name, '{column}' AS column_name, '{parent}' AS parent_table,
+                   count(DISTINCT {column}) AS orphan_keys, count(*) AS orphan_rows
+            FROM {damaged(name)}
+            WHERE {column} IS NOT NULL
+              AND {column} NOT IN (SELECT {column} FROM {damaged(parent)} WHERE {column} IS NOT NULL)"""
+        for name, column, parent in FOREIGN_KEYS
+    ])
+
+
+def _key_report() -> str:
+    return f"""
+        SELECT table_name, 'key ' || key_columns AS rule, surplus_rows + null_key_rows AS violations FROM ({_key_violations()})
+        UNION ALL SELECT table_name, column_name || ' -> ' || parent_table, orphan_rows FROM ({_orphans()})"""
+
+
+def _row_rules(name: str) -> list[tuple[str, str, str]]:
+    """Column, rule, and the condition under which a row breaks it."""
+    rules = [(c, "not null", f"{c} IS NULL") for c in NOT_NULL[name]]
+    rules += [(c, f"length <= {n}", f"length(rtrim(CAST({c} AS VARCHAR), ' ')) > {n}") for c, n in LENGTHS[name].items()]
+    return rules + [(c, rule, f"NOT ({rule})") for c, rule in CHECKS.get(name, {}).items()]
+
+
+def _violations(values: bool) -> str:
+    label = "check_name" if values else "column_name"
+    return union_all([
+        f"SELECT '{name}' AS table_name, '{column}' AS {label}, '{rule}' AS rule, "
+        f"count(*) FILTER (WHERE {broken}) AS violations FROM {damaged(name)}"
+        for name in DAMAGED for column, rule, broken in _row_rules(name)
+        if (column in CHECKS.get(name, {})) == values
     ])
 
 
-def _violations() -> str:
-    def one(name: str, column: str, rule: str, broken: str) -> str:
-        return (f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, "
-                f"count(*) FILTER (WHERE {broken}) AS violations FROM {shop(name)}")
+def _set_aside() -> str:
+    def one(name: str) -> str:
+        key = " || '/' || ".join(f"coalesce(CAST({k} AS VARCHAR), '?')" for k in PRIMARY_KEYS[name])
+        names = ", ".join(f"CASE WHEN {broken} THEN '{c}: {rule}' END" for c, rule, broken in _row_rules(name))
+        return f"SELECT '{name}' AS table_name, {key} AS row_key, concat_ws('; ', {names}) AS broken_rules FROM {damaged(name)}"
 
-    parts = []
-    for name in STANDIN:
-        table = TABLES[name]
-        parts += [one(name, c, "not null", f"{c} IS NULL") for c in table.required]
-        parts += [
-            one(name, c, f"length <= {n}", f"length(rtrim(CAST({c} AS VARCHAR), ' ')) > {n}")
-            for c, n in table.max_lengths.items()
-        ]
-    return union_all(parts)
+    return f"SELECT * FROM ({union_all([one(name) for name in DAMAGED])}) WHERE broken_rules <> ''"
 
 
-def _checks() -> str:
+def _kept_by_quarantine() -> str:
     return union_all([
-        f"SELECT '{name}' AS table_name, '{check}' AS check_name, '{rule}' AS rule, "
-        f"count(*) FILTER (WHERE NOT ({rule})) AS violations FROM {shop(name)}"
-        for name in STANDIN for check, rule in TABLES[name].checks.items()
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {damaged(name)} "
+        f"WHERE NOT coalesce({' OR '.join(f'({broken})' for *_, broken in _row_rules(name))}, FALSE)"
+        for name in DAMAGED
     ])
 
 
@@ -255,12 +347,38 @@ def _latest(rows: str, keys: str, order: str) -> str:
         ) WHERE place = 1"""
 
 
+# The added translations, the totals of the summary, and the recency buckets with their days.
+TRANSLATIONS = [
+    ("portateis_cozinha_e_preparadores_de_alimentos", "portable_kitchen_food_processors"),
+    ("pc_gamer", "pc_gamer"),
+    ("sem_categoria", "no_category"),
+]
+TOTALS = {
+    "total_customers": "customer",
+    "total_orders": "orders",
+    "total_order_items": "lineitem",
+    "total_reviews": "lineitem",
+    "total_products": "part",
+    "delivered_orders": "orders WHERE o_orderstatus = 'F'",
+}
+RECENCY = [
+    ("0-30j", -1_000_000, 30),
+    ("31-90j", 31, 90),
+    ("91-180j", 91, 180),
+    ("181-365j", 181, 365),
+    ("> 365j", 366, 1_000_000),
+]
+
+
 ORACLES: dict[str, str] = {
     "row_counts": _row_counts(),
     "pk_violations": _key_violations(),
     "fk_orphans": _orphans(),
-    "null_and_length_violations": _violations(),
-    "check_violations": _checks(),
+    "key_report": _key_report(),
+    "null_and_length_violations": _violations(values=False),
+    "check_violations": _violations(values=True),
+    "quarantined_rows": _set_aside(),
+    "quarantine_row_counts": _kept_by_quarantine(),
     "duplicate_count": f"""
         SELECT 'reviews_doublons_restants' AS check_name, count(*) - count(DISTINCT review_id) AS duplicates
         FROM ({REVIEW_VERSIONS}) AS versions""",
@@ -292,11 +410,7 @@ ORACLES: dict[str, str] = {
             WHERE product_category_name NOT IN ('LARGE', 'PROMO')
         ),
         offered AS (
-            SELECT * FROM (VALUES
-                ('pc_gamer', 'pc_gamer'),
-                ('sem_categoria', 'no_category'),
-                ('portateis_cozinha_e_preparadores_de_alimentos', 'portable_kitchen_food_processors')
-            ) AS fixed(product_category_name, product_category_name_english)
+            SELECT * FROM (VALUES {', '.join(map(str, TRANSLATIONS))}) AS fixed(product_category_name, product_category_name_english)
             UNION
             SELECT p_type, upper(p_type[1]) || lower(p_type[2:]) FROM part WHERE p_type <> 'ECONOMY'
         )
@@ -310,13 +424,9 @@ ORACLES: dict[str, str] = {
         SELECT payment_type, order_status, count(*) AS payments
         FROM {shop('order_payments')} JOIN {shop('orders')} USING (order_id)
         WHERE payment_value = 0 GROUP BY payment_type, order_status""",
-    "cleaning_summary": """
-        SELECT 'total_customers' AS metric, CAST(count(*) AS VARCHAR) AS value FROM customer
-        UNION ALL SELECT 'total_products', CAST(count(*) AS VARCHAR) FROM part
-        UNION ALL SELECT 'total_order_items', CAST(count(*) AS VARCHAR) FROM lineitem
-        UNION ALL SELECT 'total_reviews', CAST(count(*) AS VARCHAR) FROM lineitem
-        UNION ALL SELECT 'total_orders', CAST(count(*) AS VARCHAR) FROM orders
-        UNION ALL SELECT 'delivered_orders', CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'""",
+    "cleaning_summary": union_all([
+        f"SELECT '{metric}' AS metric, CAST(count(*) AS VARCHAR) AS value FROM {source}" for metric, source in TOTALS.items()
+    ]),
     "strip_bom": "SELECT p_partkey AS product_id, p_name AS product_name FROM part",
     "order_amounts": f"""{FEATURES}
         SELECT customer_unique_id, order_id, bought_at AS order_purchase_timestamp,
@@ -357,11 +467,10 @@ ORACLES: dict[str, str] = {
                {half_up('sum(score)', 'count(score)', 2)} AS score_moyen
         FROM units""",
     "recency_buckets": f"""{FEATURES}
-        SELECT CASE WHEN recency_days > 365 THEN '> 365j' WHEN recency_days > 180 THEN '181-365j'
-                    WHEN recency_days > 90 THEN '91-180j' WHEN recency_days > 30 THEN '31-90j'
-                    ELSE '0-30j' END AS bucket,
-               count(*) AS nb_clients
-        FROM features GROUP BY 1""",
+        SELECT bucket, count(*) AS nb_clients
+        FROM features JOIN (VALUES {', '.join(map(str, RECENCY))}) AS edges(bucket, low, high)
+            ON recency_days BETWEEN low AND high
+        GROUP BY bucket""",
     "frequency_buckets": f"""{FEATURES}
         SELECT CASE WHEN frequency < 5 THEN CAST(frequency AS VARCHAR) ELSE '5+' END AS freq,
                count(*) AS nb_clients
