@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +52,27 @@ def shared_folder(spark: SparkSession) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="buyerlens-"))
         current = context.getCheckpointDir()
     return current.rstrip("/")
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/buyerlens-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder for something this application writes and reads again."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession, *keep: str) -> None:
+    """Delete what this application has written to its scratch paths, but for the paths in ``keep``.
+
+    Results that have not been computed or written yet may still need it, so this is for
+    whoever owns the application and knows that they have been.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        names = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+        for status in files.listStatus(path):
+            if status.getPath().getName() not in names:
+                files.delete(status.getPath(), True)

@@ -5,7 +5,9 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 
+from buyerlens.operators import sequence
 from buyerlens.operators.sequence import order_sequence
 
 SCHEMA = "customer_unique_id string, order_id string, order_purchase_timestamp timestamp_ntz, order_amount decimal(22,2), item_count bigint"
@@ -45,7 +47,19 @@ def test_matches_brute_force_however_customers_are_cut(spark, chunks, moments):
 def test_a_hot_customer_is_spread_over_tasks(spark):
     df = order_sequence(spark.createDataFrame(histories(7, 500), SCHEMA), 12)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(customer_unique_id" in plan and "__chunk" in plan
-    # No window runs over whole customers except the one over chunk ends.
-    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
-    assert windows and all("__chunk" in line for line in windows)
+    # What is left to do is a scan and a join with at most one row per chunk: no exchange of orders or customers.
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_rows_carried_from_chunk_to_chunk():
+    def boundary(chunk, first, last, position):
+        return Row(**{"__chunk": chunk, "first": first, "last": Row(
+            customer_unique_id=last, __position=position, order_amount=chunk * 10, order_purchase_timestamp=chunk)})
+
+    chunks = [boundary(0, "a", "b", 3), boundary(1, "b", "b", 4), boundary(3, "b", "b", 2), boundary(4, "b", "c", 1),
+              boundary(5, "d", "d", 5), boundary(6, "d", "e", 1)]
+    assert sequence._carried(chunks) == [(1, "b", 3, 0, 0), (3, "b", 7, 10, 1), (4, "b", 9, 30, 3), (6, "d", 5, 50, 5)]
+
+
+def test_no_orders(spark):
+    assert order_sequence(spark.createDataFrame([], SCHEMA)).count() == 0
