@@ -88,16 +88,25 @@ def _uses(names: Iterable[str], keys: bool, references: bool) -> list[_Use]:
     return found
 
 
-def _key_text(columns: tuple[str, ...]) -> str:
-    """A key as text, NULL unless complete; all parts but the last come with their length, so no two keys read alike."""
-    parts = [f"CAST({c} AS STRING)" for c in columns]
-    return f"CONCAT({', '.join([f'LENGTH({p}), chr(58), {p}' for p in parts[:-1]] + parts[-1:])})"
+def _key_hashes(columns: tuple[str, ...]) -> tuple[str, str]:
+    """A key as two 64-bit hashes of its text, the first NULL unless the key is complete.
+
+    Keys of any type and number of columns then group as two whole numbers. Different
+    keys would have to agree in 128 bits to be taken for one.
+    """
+    texts = ", ".join(f"CAST({c} AS STRING)" for c in columns)
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return f"IF({complete}, XXHASH64({texts}), NULL)", f"XXHASH64(1L, {texts})"
 
 
 def _used_keys(df: DataFrame, uses: list[_Use]) -> DataFrame:
-    """(domain, role, key) of every row of a table, read once."""
-    rows = ", ".join(f"{u.domain}, {u.role}, {_key_text(u.columns)}" for u in uses)
-    used = df.selectExpr(f"STACK({len(uses)}, {rows}) AS (domain, role, key)")
+    """(domain, role, key, key_2) of every row of a table, read once."""
+    rows = [(str(u.domain), str(u.role), *_key_hashes(u.columns)) for u in uses]
+    names = ("domain", "role", "key", "key_2")
+    if len(rows) == 1:
+        used = df.selectExpr(*(f"{value} AS {name}" for value, name in zip(rows[0], names)))
+    else:
+        used = df.selectExpr(f"STACK({len(rows)}, {', '.join(v for row in rows for v in row)}) AS ({', '.join(names)})")
     return used.where("role = 0 OR key IS NOT NULL")
 
 
@@ -107,7 +116,7 @@ def _key_facts(tables: Mapping[str, DataFrame], uses: list[_Use]) -> DataFrame:
         _used_keys(tables[name], [u for u in uses if u.table == name]) for name in dict.fromkeys(u.table for u in uses)
     ])
     roles = range(1, max(u.role for u in uses) + 1)
-    held = used.groupBy("domain", "key").agg(
+    held = used.groupBy("domain", "key", F.expr("IF(key IS NULL, 0L, key_2)").alias("key_2")).agg(
         F.expr("COUNT_IF(role = 0) AS held"), *(F.expr(f"COUNT_IF(role = {r}) AS used_{r}") for r in roles))
     return held.groupBy("domain").agg(
         F.expr("COUNT_IF(key IS NOT NULL AND held > 1) AS duplicate_keys"),
