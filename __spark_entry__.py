@@ -24,12 +24,12 @@ from buyerlens.operators import cleaning, integrity
 from buyerlens.operators.keep_latest import keep_latest
 from buyerlens.operators.sequence import order_sequence
 from buyerlens.plans import features as plans
-from buyerlens.plans import quality, reports
+from buyerlens.plans import quality, refresh, reports
 from buyerlens.plans.build import FEATURE_TABLES, clean_tables, feature_store, features_of, publish_view
 from buyerlens.session import shared_folder
 from buyerlens.sources import csv
 from buyerlens.sources.schemas import TABLES
-from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, damaged_tables, standin_table, standin_tables
+from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, before_and_delivery, damaged_tables, standin_table, standin_tables
 from oracle_queries import ORACLES
 
 try:
@@ -102,6 +102,15 @@ def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return store.read()
 
 
+def _folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Features after a delivery of new and corrected rows was folded into the state before it."""
+    before, delivery = (clean_tables(spark, t) for t in before_and_delivery(spark, folder))
+    store = refresh.state_store(spark, f"{shared_folder(spark)}/state-{uuid.uuid4().hex}")
+    refresh.publish_state(store, before)
+    refresh.refresh_state(store, before, delivery)
+    return refresh.read_features(store, AS_OF)
+
+
 def _customer_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Look up the customer with the highest id among those with features."""
     store = _published(spark, folder)
@@ -286,6 +295,7 @@ def queries() -> dict[str, Query]:
         "features_view": _view,
         "materialized_read": lambda s, d: _published(s, d).read(),
         "features_refresh": _refreshed,
+        "features_refresh_differential": _folded,
         "customer_lookup": _customer_lookup,
         "geo_by_state": lambda s, d: reports.geo_by_state(*_fan_out(s, d)),
         "geo_by_spend": lambda s, d: reports.geo_by_spend(*_fan_out(s, d)),

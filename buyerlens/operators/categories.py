@@ -22,20 +22,21 @@ _NUMBERS = T.StructType([T.StructField(_CATEGORY, T.StringType()), T.StructField
 
 @dataclass(frozen=True)
 class CategoryBits:
-    """Categories by number, counted from 1."""
+    """Categories by number, counted from 1; ``room`` is the least number of words, for categories to come."""
 
     names: tuple[str, ...]
+    room: int = 1
 
     @classmethod
-    def of(cls, products: DataFrame, known: Sequence[str] = ()) -> CategoryBits | None:
+    def of(cls, products: DataFrame, known: Sequence[str] = (), room: int = 1) -> CategoryBits | None:
         """Number the categories of ``products``; those in ``known`` keep their places. None if there are too many."""
         found = products.select(_CATEGORY).where(f"{_CATEGORY} IS NOT NULL").distinct().limit(MAX_CATEGORIES + 1).collect()
         names = [*known, *sorted({r[0] for r in found} - set(known))]
-        return cls(tuple(names)) if len(names) <= MAX_CATEGORIES else None
+        return cls(tuple(names), room) if len(names) <= MAX_CATEGORIES else None
 
     @property
     def words(self) -> list[str]:
-        return [f"categories_{k}" for k in range(len(self.names) // 64 + 1)]
+        return [f"categories_{k}" for k in range(max(self.room, len(self.names) // 64 + 1))]
 
     @property
     def count(self) -> str:

@@ -63,14 +63,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of a path, for what has no DataFrame call: listing, deleting."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, found = file_system(spark, path)
+    files.delete(found, True)
+
+
 def clear_scratch(spark: SparkSession, *keep: str) -> None:
     """Delete what this application has written to its scratch paths, but for the paths in ``keep``.
 
     Results that have not been computed or written yet may still need it, so this is for
     whoever owns the application and knows that they have been.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, path = file_system(spark, _scratch(spark))
     if files.exists(path):
         names = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
         for status in files.listStatus(path):

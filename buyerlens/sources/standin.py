@@ -153,3 +153,26 @@ def damaged_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     customers = found["customers"]
     found["customers"] = customers.unionByName(customers.where("customer_id % 10 = 3"))
     return found
+
+
+# Rows that a later delivery brings or corrects, and what they were before (no change: they were not there).
+_LATER: dict[str, tuple[str, list[str]]] = {
+    "customers": ("customer_id % 97 = 0", ["customer_unique_id + 1 AS customer_unique_id"]),
+    "products": ("product_id % 31 = 0", ["CAST(NULL AS STRING) AS product_category_name"]),
+    "orders": ("order_id % 8 = 1", []),
+    "order_items": ("order_id % 8 = 1 OR order_id % 50 = 3", ["CAST(price + 1 AS DECIMAL(10, 2)) AS price"]),
+    "order_reviews": ("order_id % 8 = 1 OR order_id % 41 = 0", ["CAST(1 AS SMALLINT) AS review_score"]),
+}
+
+
+def before_and_delivery(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The tables of the features as they were before a delivery, and that delivery."""
+    before, delivery = {}, {}
+    for name, (later, changes) in _LATER.items():
+        df = standin_table(spark, folder, name)
+        delivery[name] = df.where(later)
+        changed = {c.rsplit(" AS ", 1)[1]: c for c in changes}
+        was = delivery[name].selectExpr(*(changed.get(c, c) for c in df.columns))
+        gone = "order_id % 8 = 1" if "order_id" in df.columns else "FALSE"
+        before[name] = df.where(f"NOT ({later})").unionByName(was.where(f"NOT ({gone})"))
+    return before, delivery

@@ -452,6 +452,7 @@ ORACLES: dict[str, str] = {
     "features_view": ALL_FEATURES,
     "materialized_read": ALL_FEATURES,
     "features_refresh": ALL_FEATURES,
+    "features_refresh_differential": ALL_FEATURES,
     "customer_lookup": f"{ALL_FEATURES} WHERE customer_unique_id = (SELECT max(customer_unique_id) FROM features)",
     "features_preview": f"{ALL_FEATURES} ORDER BY customer_unique_id LIMIT 10",
     "top_customers": f"{FEATURES} SELECT * FROM features ORDER BY total_spent DESC, customer_unique_id LIMIT 20",
