@@ -12,7 +12,8 @@ raise ``filter_bits`` with the input (about eight bits a row).
 
 Defined results: null counts as empty, and all texts without other characters are
 equal. Of equal texts the one with most code points stays, then the smallest doc_id;
-a null doc_id comes last. Rows that repeat id and text are one document and are kept
+a null doc_id comes last, and rows that agree in both go by the MD5 of the original text, the
+largest staying. Rows that repeat id and text are one document and are kept
 or dropped alike by ``exact_groups``; ``without_copies`` keeps one of them. Other
 columns are passed through whatever their names. An empty table gives no rows.
 """
@@ -71,20 +72,29 @@ def _suspicious(rows: DataFrame, bloom: DataFrame, filter_bits: int) -> DataFram
 
 
 def _winners(maybe: DataFrame) -> DataFrame:
-    """Of each text that several rows have: the id that stays and how many have it."""
-    best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("order")))
+    """Of each text: the row that stays, and how many rows have it."""
+    best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("order"), "original"))
     groups = maybe.groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size"))
-    return written(groups.where("group_size > 1").select(
-        "text_sha256", (-F.col("best.order")).alias("keep_id"), "group_size"
+    return written(groups.select(
+        "text_sha256", (-F.col("best.order")).alias("keep_id"), F.col("best.n_points").alias("keep_points"),
+        F.col("best.original").alias("keep_original"), "group_size",
     ), "winners")
 
 
+def _is_winner(doc_id):
+    return doc_id.eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points")) & (
+        F.col("original") == F.col("keep_original"))
+
+
+def _marks(text):
+    """What tells the rows of one text apart besides their ids."""
+    text = F.coalesce(text, F.lit(""))
+    return [F.char_length(text).cast("long").alias("n_points"), F.md5(F.encode(text, "UTF-8")).alias("original")]
+
+
 def _digest_rows(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("n_points"),
-        _digests(F.col("text")).alias("text_sha256"),
-    )
+        F.col("doc_id").cast("long").alias("doc_id"), *_marks(F.col("text")), _digests(F.col("text")).alias("text_sha256"))
 
 
 def exact_groups(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -97,24 +107,22 @@ def exact_groups(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256",
     )
-    size = F.coalesce("group_size", F.lit(1).cast("long"))
-    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return alone.unionByName(judged.select(
-        "doc_id", keep.alias("keep_id"), size.alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256"
-    ))
+        "doc_id", "keep_id", "group_size", _is_winner(F.col("doc_id")).alias("kept"), "text_sha256"))
 
 
 def without_copies(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; only possibly repeated rows are shuffled."""
+    """The rows of ``docs`` that stay, with their columns; only rows that stay are brought together by text."""
     columns = docs.columns
     digests = written(_digest_rows(docs), "digests")
     bloom = repeated_bits(digests, filter_bits)
     winners = _winners(_suspicious(digests, bloom, filter_bits).where("maybe")).withColumnRenamed("text_sha256", "_digest")
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("doc"))
-    packed = packed.withColumn("text_sha256", _digests(F.col("doc.text")))
+    packed = packed.select("doc", *_marks(F.col("doc.text")), _digests(F.col("doc.text")).alias("text_sha256"))
     marked = _suspicious(packed, bloom, filter_bits)
-    maybe = marked.where("maybe").join(winners, F.col("text_sha256") == F.col("_digest"), "left")
-    kept = maybe.where("group_size IS NULL OR keep_id <=> doc.doc_id").dropDuplicates(["text_sha256"])
+    # A copy meets its winner by id and original text too, so the copies of one text spread.
+    own = (F.col("text_sha256") == F.col("_digest")) & _is_winner(F.col("doc.doc_id").cast("long"))
+    kept = marked.where("maybe").join(winners, own, "left_semi").dropDuplicates(["text_sha256"])
     return marked.where("NOT maybe").select("doc.*").unionByName(kept.select("doc.*"))
 
 
@@ -124,15 +132,16 @@ def op9_exact_dedup(spark, folder: str) -> DataFrame:
 
 OP9_SQL = r"""
 WITH d AS (
-    SELECT doc_id, length(coalesce(text, '')) AS n_points,
+    SELECT doc_id, length(coalesce(text, '')) AS n_points, md5(coalesce(text, '')) AS original,
            sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
     FROM documents
 ), g AS (
     SELECT text_sha256, count(*) AS group_size FROM d GROUP BY 1
 ), w AS (
-    SELECT text_sha256, doc_id AS keep_id FROM d
-    QUALIFY row_number() OVER (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id NULLS LAST) = 1
+    SELECT text_sha256, doc_id AS keep_id, n_points AS keep_points, original AS keep_original FROM d
+    QUALIFY row_number() OVER (PARTITION BY text_sha256 ORDER BY n_points DESC, doc_id NULLS LAST, original DESC) = 1
 )
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
+SELECT doc_id, keep_id, group_size, text_sha256,
+       doc_id IS NOT DISTINCT FROM keep_id AND n_points = keep_points AND original = keep_original AS kept
 FROM d JOIN g USING (text_sha256) JOIN w USING (text_sha256)
 """

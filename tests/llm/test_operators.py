@@ -99,19 +99,27 @@ def test_index_entries_meet_for_every_linked_pair():
                 assert len(np.intersect1d(a, b))
 
 
-def test_exact_groups(docs, empty):
-    got = {(r.doc_id, r.text_sha256): r for r in exact_dedup.exact_groups(docs).collect()}
+def test_exact_groups(spark, docs, empty):
+    twice = [(3, "a b"), (3, "a  b"), (3, "ab "), (5, "a b  "), (8, "x y"), (8, "xy ")]  # one id, several texts
+    rows = texts() + twice + [(9000, "z " * 100_000), (9001, "z" * 100_000)]
+    frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows[len(texts()):], "doc_id long, text string"))
+    got = sorted(((str(r.doc_id), r.text_sha256, str(r.keep_id), r.group_size, r.kept) for r in exact_dedup.exact_groups(frame).collect()))
     groups = {}
-    for i, t in texts():
-        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i or 0, i))
-    for plain, rows in groups.items():
-        keep = min(rows)[3]
-        for *_, i in rows:
-            r = got[i, hashlib.sha256(plain.encode()).hexdigest()]
-            assert (r.keep_id, r.group_size, r.kept) == (keep, len(rows), i == keep)
-    kept = exact_dedup.without_copies(docs)
-    assert kept.columns == docs.columns and kept.count() == len(groups)
+    for i, t in rows:
+        t = t or ""
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t), []).append(
+            (len(t), i is not None, -(i or 0), hashlib.md5(t.encode()).hexdigest(), i))
+    want = [(str(m[4]), hashlib.sha256(plain.encode()).hexdigest(), str(max(own)[4]), len(own), m == max(own))
+            for plain, own in groups.items() for m in own]
+    assert got == sorted(want)
+    kept = exact_dedup.without_copies(frame).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == sorted(
+        (str(i), t) for i, t in {(max(own)[4], max(own)[3]): next(
+            t or "" for j, t in rows if j == max(own)[4] and hashlib.md5((t or "").encode()).hexdigest() == max(own)[3])
+            for own in groups.values()}.items() for i, t in [(i[0], t)])
+    assert exact_dedup.without_copies(docs).columns == docs.columns
     assert exact_dedup.exact_groups(docs, filter_bits=64).count() == docs.count()  # a full filter only shuffles more
+    assert exact_dedup.without_copies(docs, filter_bits=64).count() == exact_dedup.without_copies(docs).count()
     assert exact_dedup.without_copies(empty).count() == 0
 
 
