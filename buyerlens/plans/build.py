@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,7 @@ from buyerlens.operators.cleaning import (
 )
 from buyerlens.operators.integrity import require_integrity
 from buyerlens.plans.features import AS_OF, customer_features
+from buyerlens.session import delete_path
 from buyerlens.sources.csv import import_tables
 from buyerlens.sources.versions import VersionedTable
 
@@ -56,14 +57,20 @@ def build(
     store: VersionedTable,
     as_of: dt.date = AS_OF,
     strict: bool = True,
+    multiline: Collection[str] = (),
 ) -> DataFrame:
     """CSV files in, the current version of the features out. Also the way to refresh.
 
-    The files are imported below the store first. ``strict`` then checks every
-    declared rule on the imported tables.
+    The files are imported below the store first, and that import is removed at the end. ``strict``
+    checks every declared rule on the imported tables. The tables in ``multiline`` may have line breaks
+    inside quotes.
     """
-    tables = import_tables(spark, csv_paths, f"{store.root}/import-{uuid.uuid4().hex}")
-    if strict:
-        require_integrity(tables)
-    store.publish(features_of(clean_tables(spark, tables), as_of))
+    folder = f"{store.root}/import-{uuid.uuid4().hex}"
+    try:
+        tables = import_tables(spark, csv_paths, folder, multiline)
+        if strict:
+            require_integrity(tables)
+        store.publish(features_of(clean_tables(spark, tables), as_of))
+    finally:
+        delete_path(spark, folder)
     return store.read()

@@ -1,16 +1,17 @@
 """Load the delivered CSV files with declared schemas.
 
-A value that does not fit its column, or a row with the wrong number of fields,
-stops the job instead of turning into NULL. Spark converts only the columns a
+A value that does not fit its column, a row with the wrong number of fields, or a header with
+other names stops the job instead of turning into NULL. Spark converts only the columns a
 query reads, so ``import_tables`` is what checks a file whole: it writes every
 column to parquet, which the plans then scan by column and more than once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from buyerlens.operators.cleaning import strip_bom
 from buyerlens.operators.keep_latest import keep_latest
@@ -24,24 +25,74 @@ CSV_OPTIONS = {
     "escape": '"',
     "nullValue": "\u0000",
     "mode": "FAILFAST",
-    "enforceSchema": "true",
+    "enforceSchema": "false",
 }
+_RECORD_OPTIONS = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "enforceSchema")}
 
 
 def read_csv(spark: SparkSession, table: Table, path: str | list[str], multiline: bool | None = None) -> DataFrame:
     """One table as delivered, typed but not cleaned.
 
-    Only a table with free text allows line breaks inside quotes by default:
-    Spark cannot split such a file, so it reads one file per task. Deliver large
-    review extracts as many files. A stray line break elsewhere fails the load.
+    Only a table with free text allows line breaks inside quotes by default
+    (``read_records``). A stray line break elsewhere fails the load.
     """
-    multiline = table.multiline if multiline is None else multiline
-    return (
-        spark.read.schema(table.schema)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
-        .csv(path)
+    if table.multiline if multiline is None else multiline:
+        return read_records(spark, table, path)
+    return spark.read.schema(table.schema).options(**CSV_OPTIONS).csv(path)
+
+
+def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, record, text) of every CSV record; line breaks inside quotes belong to the record.
+
+    Spark's own reader takes a file with such breaks in one task. Here files are
+    split into lines as any text. A line is inside quotes if an odd number of quotes came before it in its
+    file, and doubled quotes do not change that; so each split needs from those before it only
+    the parity of their quotes and the number of records begun, in one row per split. Records within a split
+    are put together where the split is; only those that cross into the next one meet by a shuffle.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    odd = F.expr("(LENGTH(value) - LENGTH(REPLACE(value, '\"', ''))) % 2")
+    by_line = Window.partitionBy("file", "block").orderBy("line")
+    # Inside quotes or not, had the split begun outside; the other case is the opposite.
+    counted = lines.withColumn("odd", odd).withColumn(
+        "inside", (F.sum("odd").over(by_line) - F.col("odd")) % 2)
+    splits = counted.groupBy("file", "block").agg(
+        (F.sum("odd") % 2).alias("odd"), F.count_if(F.col("inside") == 0).alias("begun_0"),
+        F.count_if(F.col("inside") == 1).alias("begun_1"))
+    by_split = Window.partitionBy("file").orderBy("block")
+    splits = splits.withColumn("entered", (F.sum("odd").over(by_split) - F.col("odd")) % 2)
+    begun = F.when(F.col("entered") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
+    splits = splits.withColumn("before", F.sum(begun).over(by_split) - begun).select("file", "block", "entered", "before")
+    starts = (F.col("inside") == F.col("entered")).cast("bigint")
+    numbered = counted.join(splits, ["file", "block"]).select(
+        "file", "block", "line", "value", "before", (F.col("before") + F.sum(starts).over(by_line)).alias("record"))
+    pieces = numbered.groupBy("file", "block", "record", "before").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), "\n").alias("text"))
+    # The first piece of a split may go on with a record of the split before, and its last record may go on.
+    last = F.max("record").over(Window.partitionBy("file", "block"))
+    pieces = pieces.withColumn("edge", (F.col("record") <= F.col("before") + 1) | (F.col("record") == last))
+    crossing = pieces.where("edge").groupBy("file", "record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    return pieces.where("NOT edge").select("file", "record", "text").unionByName(crossing)
+
+
+def read_records(spark: SparkSession, table: Table, path: str | list[str]) -> DataFrame:
+    """One table as delivered, from files with line breaks inside quotes, each file read by several tasks.
+
+    Lines may end in one sign or two. Empty lines are no records.
+    """
+    names = ",".join(f.name for f in table.schema)
+    text = F.regexp_replace("text", "\r$", "")
+    records = csv_records(spark, path).select("record", text.alias("text")).where("text <> ''")
+    header = F.translate(F.regexp_replace("text", "^\ufeff", ""), '"', "")
+    wrong = F.raise_error(F.concat(F.lit("[MALFORMED_HEADER] expected "), F.lit(names), F.lit(", found "), "text")).cast("boolean")
+    rows = records.where(F.when(F.col("record") > 1, True).when(header == names, False).otherwise(wrong))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+    parsed = rows.select(F.from_csv("text", ddl, _RECORD_OPTIONS).alias("row")).select("row.*")
+    return parsed.select(*(F.col(f.name).alias(f.name, metadata=f.metadata) for f in table.schema))
 
 
 def load_table(spark: SparkSession, name: str, path: str | list[str], multiline: bool | None = None) -> DataFrame:
@@ -55,15 +106,22 @@ def load_table(spark: SparkSession, name: str, path: str | list[str], multiline:
     return df
 
 
-def load_tables(spark: SparkSession, paths: Mapping[str, str | list[str]]) -> dict[str, DataFrame]:
-    """Every table named in ``paths`` (table name to CSV path, folder or glob), read when used."""
-    return {name: load_table(spark, name, path) for name, path in paths.items()}
+def load_tables(
+    spark: SparkSession, paths: Mapping[str, str | list[str]], multiline: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Every table named in ``paths`` (table name to CSV path, folder or glob), read when used.
+
+    The tables in ``multiline`` may have line breaks inside quotes, besides those that may by declaration.
+    """
+    return {name: load_table(spark, name, path, True if name in multiline else None) for name, path in paths.items()}
 
 
-def import_tables(spark: SparkSession, paths: Mapping[str, str | list[str]], folder: str) -> dict[str, DataFrame]:
+def import_tables(
+    spark: SparkSession, paths: Mapping[str, str | list[str]], folder: str, multiline: Collection[str] = ()
+) -> dict[str, DataFrame]:
     """Load every table into parquet under a new folder; a bad file stops the import."""
     imported = {}
-    for name, df in load_tables(spark, paths).items():
+    for name, df in load_tables(spark, paths, multiline).items():
         target = f"{folder}/{name}"
         df.write.parquet(target)
         imported[name] = spark.read.schema(TABLES[name].schema).parquet(target)

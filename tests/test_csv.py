@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from buyerlens.sources.csv import import_tables, load_table, load_tables, read_csv
+from buyerlens.sources.csv import CSV_OPTIONS, csv_records, import_tables, load_table, load_tables, read_csv
 from buyerlens.sources.schemas import TABLES
 from tests.conftest import at
 
@@ -118,3 +118,59 @@ def test_many_tables_at_once(spark, deliver):
     }
     order = tables["orders"].first()
     assert order.order_approved_at is None and order.order_purchase_timestamp == at("2018-01-01T10:00:00")
+
+
+def review_text(n: int, newline: str = "\n") -> str:
+    said = ["plain", "", '""', '"He said ""ok"""', f'"two{newline}lines"', f'"{newline}{newline}a "" b{newline}"', '"a,b"']
+    return "".join(
+        f"r{k},o{k},{k % 5 + 1},{said[k % 7]},{said[k * 3 % 7]},2018-01-01 00:00:00,2018-01-02 00:00:00{newline}" for k in range(n))
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_one_file_is_read_by_several_tasks(spark, deliver, newline):
+    """The same rows as Spark's own reader gives, which takes such a file whole."""
+    table = TABLES["order_reviews"]
+    path = deliver("order_reviews", review_text(300, newline))
+    whole = spark.read.schema(table.schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+    expected = sorted(map(str, whole.collect()))
+    assert len(expected) == 300
+    for size in ("97", "1000", "1g"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            df = read_csv(spark, table, path)
+            assert sorted(map(str, df.collect())) == expected
+            assert [f.dataType for f in df.schema] == [f.dataType for f in table.schema]
+            lines = spark.read.text(path).rdd.getNumPartitions()
+            assert lines > 20 or size == "1g"
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_records_of_several_files_stay_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h\n"x\n\ny"\nlast')
+    (tmp_path / "b.csv").write_text("h\n1\n2\n")
+    rows = csv_records(spark, str(tmp_path)).collect()
+    found = sorted((r.file.rsplit("/", 1)[1], r.record, r.text) for r in rows if r.text)
+    assert found == [("a.csv", 1, "h"), ("a.csv", 2, '"x\n\ny"'), ("a.csv", 3, "last"),
+                     ("b.csv", 1, "h"), ("b.csv", 2, "1"), ("b.csv", 3, "2")]
+
+
+@pytest.mark.parametrize("name, body", [("customers", "c,u,01409,franca,SP\n"), ("order_reviews", review_text(1))])
+def test_a_header_with_other_names_stops_the_load(spark, tmp_path, name, body):
+    names = HEADERS[name].split(",")
+    names[0], names[1] = names[1], names[0]
+    (tmp_path / "x.csv").write_text(",".join(names) + "\n" + body)
+    with pytest.raises(Exception, match="(?i)header"):
+        load_table(spark, name, str(tmp_path / "x.csv")).collect()
+
+
+def test_line_breaks_in_other_tables_can_be_allowed(spark, deliver, tmp_path):
+    path = deliver("customers", 'c,u,01409,"sao\npaulo",SP\n')
+    found = import_tables(spark, {"customers": path}, str(tmp_path / "imported"), multiline=["customers"])
+    assert found["customers"].first().customer_city == "sao\npaulo"
+
+
+def test_a_file_without_records(spark, deliver):
+    assert load_table(spark, "order_reviews", deliver("order_reviews", "")).count() == 0
