@@ -24,12 +24,13 @@ from buyerlens.operators import cleaning, integrity
 from buyerlens.operators.keep_latest import keep_latest
 from buyerlens.operators.sequence import order_sequence
 from buyerlens.plans import features as plans
-from buyerlens.plans import quality, refresh, reports
+from buyerlens.plans import quality, refresh, reports, rollups
 from buyerlens.plans.build import FEATURE_TABLES, clean_tables, feature_store, features_of, publish_view
 from buyerlens.session import shared_folder
 from buyerlens.sources import csv
 from buyerlens.sources.schemas import TABLES
 from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, before_and_delivery, damaged_tables, standin_table, standin_tables
+from buyerlens.sources.versions import VersionedTable
 from oracle_queries import ORACLES
 
 try:
@@ -279,6 +280,23 @@ def _feature_queries() -> dict[str, Callable[[DataFrame], DataFrame]]:
     }
 
 
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up published beside the features."""
+    cuts = rollups.Cuts(basket_cap=BASKET_CAP, basket_bin=BASKET_BIN, risk_spend=RISK_SPEND)
+    root = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
+    store, sums = feature_store(spark, f"{root}/features"), VersionedTable(spark, f"{root}/sums", rollups.KEY)
+    return rollups.publish_with_rollup(store, sums, _features(spark, folder), cuts)
+
+
+def _rollup_queries() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Reports from the published roll-up; each equals the report of that name over the features."""
+    found = {"kpis": rollups.kpis, "features_summary": rollups.features_summary, "risk_kpis": rollups.risk_kpis}
+    for name in ("recency_buckets", "frequency_buckets", "score_distribution", "basket_histogram", "basket_histogram_capped",
+                 "negative_pct_histogram"):
+        found[name] = lambda sums, name=name: rollups.distributions(sums)[name]
+    return {f"rollup_{name}": query for name, query in found.items()}
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator or report."""
     found: dict[str, Query] = {
@@ -311,6 +329,8 @@ def queries() -> dict[str, Query]:
         found[name] = lambda s, d, query=query: query(_raw(s, d))
     for name, query in _clean_queries().items():
         found[name] = lambda s, d, query=query: query(_clean(s, d))
+    for name, query in _rollup_queries().items():
+        found[name] = lambda s, d, query=query: query(_rollup(s, d))
     for name, query in _feature_queries().items():
         found[name] = lambda s, d, query=query: query(_features(s, d))
     registered = {

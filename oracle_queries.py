@@ -528,3 +528,12 @@ ORACLES: dict[str, str] = {
         "review_comment_title, review_comment_message NULLS LAST",
     ),
 }
+
+# Reports from the roll-up have to equal those from the features.
+ORACLES.update({
+    f"rollup_{name}": ORACLES[name]
+    for name in (
+        "kpis", "features_summary", "risk_kpis", "recency_buckets", "frequency_buckets", "score_distribution",
+        "basket_histogram", "basket_histogram_capped", "negative_pct_histogram",
+    )
+})
