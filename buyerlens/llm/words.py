@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 2 << 20  # of text that is worked on at once; a single longer text is taken whole
+SLICE_BYTES = 1 << 20  # of text that is worked on at once; a single longer text is taken whole
 _BASE = U(0x9E3779B97F4A7C15)
 
 # Classes of bytes: 0 separates, and a word is a run of one class.
