@@ -1,27 +1,31 @@
 """Quality classifier by importance resampling.
 
-Target text (labelled good and not toxic) and raw text are described by generative
-models over hashed word n-grams. The weight of a document is the ratio of target to
-raw, taken over its least likely segment, so that a long document cannot hide one.
-Raw text has two models: ``toxic`` counts in how many documents a word occurs and looks
-at single words; ``poor`` counts words and word pairs and looks at segments of
-``SEGMENT`` words, a repeated word being one kind of pair. The smaller ratio counts.
-
-The models are fitted on half of a bounded sample of labelled rows (``max_labelled``,
-taken by hash) and the level at which target and raw part best is read off the other
-half; ``log_weight`` is the distance from that level. Sampling is Gumbel top-k: the
-``k`` largest ``log_weight / temperature + Gumbel noise`` stay. By default ``k`` is the
-number of documents at or above the level, so noise only decides close to it; ``keep``
-gives another share. The noise is a hash of id and text, so a lost task repeats it.
-
-Every document is scored, on its whole text. The k-th score is found by histograms of
+Target text (labelled good and not toxic) and raw text (every document) are described by
+generative models over hashed word n-grams: in how many documents a word occurs, and how
+often words and word pairs do. The weight of a document is the log ratio of target to raw, taken over
+its least likely word (``toxic``) and over its least likely segment of ``SEGMENT`` words
+(``poor``, a repeated word being one kind of pair), so that a long document cannot hide
+one; the smaller of the two counts, each as distance from its level. The raw models count the whole corpus;
+labelled toxic or poor text makes up the share ``KNOWN`` of them, as a corpus in which such
+text is rare tells little about it.
+
+Target and labelled text are fitted on a bounded sample of labelled rows
+(``max_labelled``, taken by hash). The levels are those at which good and other labelled
+rows part best: for ``toxic`` a good row is judged with its own words taken out of the target model, for
+``poor`` one half of the sample is judged by models of the other half. Sampling is Gumbel top-k: the ``k``
+largest ``log_weight + temperature * Gumbel noise`` stay. By default ``k`` is the number of documents at or
+above both levels, so the sample is as large as what the levels part off, and noise decides who
+is in it near them; ``keep`` gives another share. The noise is a hash of id, text and seed, so a lost task
+repeats it.
+
+Every document is counted and scored, on its whole text. The k-th score is found by histograms of
 1,024 bins that narrow down, never by sorting in one task. Only count tables, at most
 ``max_labelled`` scores and histograms reach the driver.
 
 Defined results: null and blank texts hold no words, weigh ``EMPTY`` and count as poor.
 Rows with the same score stay or go together, so ties may exceed ``k``. Without labels
-of a kind that model is left out; without good labels every document weighs 0. Several
-labels of one document count as the worst of them; null labels are ignored. Other
+of a kind there is no level for it and nothing is lost by it; without good labels every document weighs 0. Several
+labels of one document count as the worst of them; null labels and labels of no document are ignored. Other
 columns pass through. An empty table gives no rows.
 """
 
@@ -40,12 +44,14 @@ from buyerlens.llm.words import U, WORDS_AND_MARKS, words_of
 MAX_LABELLED = 20_000
 BUCKET_BITS = 18
 SEGMENT = 16
-TEMPERATURE = 0.02
-EMPTY = -1.0
+TEMPERATURE = 0.1
+KNOWN = 0.5
+LOST = 3
+EMPTY = -10.0
 _BLOCK = 1 << 14
 _SIZE = 1 << BUCKET_BITS
 _REPEAT = 1  # the bucket of a word followed by itself
-KINDS = ("good", "poor", "toxic")
+KINDS = ("good", "poor", "toxic", "raw")
 FEATURES = ("documents", "words", "pairs")
 
 
@@ -61,41 +67,52 @@ def _buckets(column: pa.Array):
 
 
 def _count(batches):
-    """Counts of the fitting half: tables one after the other, by kind and feature."""
+    """Counts of (text, kind, fitting): tables one after the other, by kind and feature; pairs and words of fitting rows only."""
     counts = np.zeros(len(KINDS) * len(FEATURES) * _SIZE, dtype=np.int64)
     for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        for w, words, pairs in _buckets(batch.column("text")):
+        kinds = batch.column(1).to_numpy().astype(np.int64)
+        fitting = batch.column(2).to_numpy(zero_copy_only=False)
+        for w, words, pairs in _buckets(batch.column(0)):
             kind = kinds[w.first: w.first + w.n_rows]
             row = np.repeat(np.arange(w.n_rows), w.counts)
             own = kind[row] * len(FEATURES) * _SIZE
             once = np.unique(row * _SIZE + words)
-            np.add.at(counts, kind[once // _SIZE] * len(FEATURES) * _SIZE + once % _SIZE, 1)
-            np.add.at(counts, own + _SIZE + words, 1)
-            np.add.at(counts, (own + 2 * _SIZE + pairs)[pairs >= 0], 1)
+            fit = fitting[w.first: w.first + w.n_rows][row]
+            places = (kind[once // _SIZE] * len(FEATURES) * _SIZE + once % _SIZE, (own + _SIZE + words)[fit],
+                      (own + 2 * _SIZE + pairs)[fit & (pairs >= 0)])
+            for place in places:
+                found, number = np.unique(place, return_counts=True)
+                counts[found] += number
     for block, found in block_rows(counts, _BLOCK):
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([found], pa.binary())], names=["block", "counts"])
 
 
 @dataclass
 class Model:
-    """Log ratios by bucket, for single words and for words and pairs, and the level of each."""
+    """Documents with each word, in target and raw text; log ratios of words and pairs; and the level of each."""
 
-    toxic: np.ndarray | None = None
+    target: np.ndarray | None = None
+    raw: np.ndarray | None = None
     poor: tuple[np.ndarray, np.ndarray] | None = None
     levels: dict[str, float] = field(default_factory=lambda: {"toxic": 0.0, "poor": 0.0})
 
-    def ratios(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The least ratio of any word under ``toxic`` and of any segment under ``poor``; NaN where there is no word."""
+    def ratios(self, column: pa.Array, in_target: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The least ratio of any word under ``toxic`` and of any segment under ``poor``; NaN where there is no word.
+
+        ``in_target`` says which texts the target model has counted; they are judged as if it had not.
+        """
         toxic, poor = np.full(len(column), np.nan), np.full(len(column), np.nan)
         for w, words, pairs in _buckets(column):
             full = np.flatnonzero(w.counts > 0)
             if not len(full):
                 continue
             at, rows = w.bounds[full], w.first + full
-            toxic[rows] = np.minimum.reduceat(self.toxic[words], at) if self.toxic is not None else 0.0
+            toxic[rows] = poor[rows] = 0.0
+            if self.target is not None:
+                known = 0 if in_target is None else in_target[w.first + w.rows()]
+                ratio = np.log((np.maximum(self.target[words] - known, 0) + 1) / (self.raw[words] + 1))
+                toxic[rows] = np.minimum.reduceat(ratio, at)
             if self.poor is None:
-                poor[rows] = 0.0
                 continue
             own = self.poor[0][words] + np.where(pairs >= 0, self.poor[1][pairs], 0.0)
             sums = np.concatenate(([0.0], np.cumsum(own, dtype=np.float64)))
@@ -115,49 +132,54 @@ class Model:
 
 
 def _best_level(good: np.ndarray, bad: np.ndarray) -> float:
-    """The level that parts good from bad with the smallest sum of both error shares."""
+    """The level that parts good from bad with the smallest sum of error shares, lost good rows counting ``LOST`` times."""
     values = np.unique(np.concatenate((good, bad)))
     if not len(good) or not len(bad):
-        return float(values[0]) if len(values) else 0.0
+        return -np.inf
     levels = (values[1:] + values[:-1]) / 2
     levels = np.concatenate(([values[0]], levels, [values[-1] + 1]))
     lost = np.searchsorted(np.sort(good), levels) / len(good)
     missed = 1 - np.searchsorted(np.sort(bad), levels) / len(bad)
-    return float(levels[np.argmin(lost + missed)])
+    return float(levels[np.argmin(LOST * lost + missed)])
+
+
+def _mixed(raw: np.ndarray, known: np.ndarray, scale: float, raw_scale: float, known_scale: float) -> np.ndarray:
+    """Raw counts as if there were ``scale`` units of text, the share ``KNOWN`` of them from what is known."""
+    whole = raw * (scale / max(1.0, raw_scale))
+    return (1 - KNOWN) * whole + KNOWN * known * (scale / known_scale) if known_scale else whole
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on at most ``max_labelled`` labelled documents."""
+    """Target and known text from at most ``max_labelled`` labelled documents, raw text from all of ``docs``."""
     worst = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     kind = F.expr("CASE WHEN toxic = 1 THEN 2 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END")
     sample = worst.select(F.col("doc_id").cast("long").alias("doc_id"), kind.alias("kind")).where("kind IS NOT NULL")
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     rows = written(rows.select("text", "kind", (F.xxhash64("doc_id", F.lit("half")) % 2 == 0).alias("fitting")), "labelled")
-    fitting = rows.where("fitting").select("text", "kind").repartition(8)
-    size = len(KINDS) * len(FEATURES) * _SIZE
-    counts = sum_of_blocks(fitting.mapInArrow(_count, "block int, counts binary"), size, _BLOCK)
-    counts = counts.reshape(len(KINDS), len(FEATURES), _SIZE).astype(np.float64)
-    n_docs = {r["kind"]: r["count"] for r in fitting.groupBy("kind").count().collect()}
+    n_docs = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
     model = Model()
     if not n_docs.get(0):
         return model
-    if n_docs.get(2):
-        share, pseudo = n_docs[2] / n_docs[0], 2.0
-        model.toxic = np.log((counts[0, 0] + pseudo) * share / (counts[2, 0] + pseudo * share)).astype(np.float32)
-    if n_docs.get(1):
-        model.poor = tuple(_log_ratio(counts[0, k], counts[1, k]) for k in (1, 2))
+    counted = rows.repartition(8).unionByName(docs.select("text", F.lit(3).alias("kind"), F.lit(True).alias("fitting")))
+    size = len(KINDS) * len(FEATURES) * _SIZE
+    counts = sum_of_blocks(counted.select("text", "kind", "fitting").mapInArrow(_count, "block int, counts binary"), size, _BLOCK)
+    good, poor, toxic, raw = counts.reshape(len(KINDS), len(FEATURES), _SIZE).astype(np.float64)
+    model.target = good[0].astype(np.float32)
+    model.raw = _mixed(raw[0], toxic[0], n_docs[0], docs.count(), n_docs.get(2, 0)).astype(np.float32)
+    model.poor = tuple(
+        _log_ratio(good[k], _mixed(raw[k], poor[k], good[k].sum(), raw[k].sum(), poor[k].sum())) for k in (1, 2))
 
     def ratios(batches):
         for batch in batches:
-            found = model.ratios(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("kind"), *map(pa.array, found)], names=["kind", "toxic", "poor"])
+            found = model.ratios(batch.column(0), batch.column(1).to_numpy() == 0)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *map(pa.array, found)], names=["kind", "fitting", "toxic", "poor"])
 
-    held = rows.where("NOT fitting").select("text", "kind").mapInArrow(ratios, "kind int, toxic double, poor double")
-    held = held.where("NOT isnan(toxic)").collect()
+    judged = rows.select("text", "kind", "fitting").mapInArrow(ratios, "kind int, fitting boolean, toxic double, poor double")
+    judged = judged.where("NOT isnan(toxic)").collect()
     for name, code in (("toxic", 2), ("poor", 1)):
-        by = [np.array([r[name] for r in held if r["kind"] == k]) for k in (0, code)]
-        model.levels[name] = _best_level(*by) if n_docs.get(code) else -np.inf
+        used = [r for r in judged if name == "toxic" or not r["fitting"]]
+        model.levels[name] = _best_level(*(np.array([r[name] for r in used if r["kind"] == k]) for k in (0, code)))
     return model
 
 
@@ -182,7 +204,7 @@ def weigh(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def _perturbed(seed: int, temperature: float):
     """Weight plus Gumbel noise from a hash of id and text."""
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
-    return F.col("log_weight") / temperature - F.log(-F.log(uniform))
+    return F.col("log_weight") - temperature * F.log(-F.log(uniform))
 
 
 def kth_largest(scores: DataFrame, k: int, bins: int = 1024) -> float | None:
@@ -217,18 +239,23 @@ def cutoff(docs: DataFrame, model: Model, keep: float | None = None, seed: int =
     return float("-inf") if found is None else found
 
 
-def resample(docs: DataFrame, labels: DataFrame, keep: float | None = None, seed: int = 0,
-             temperature: float = TEMPERATURE, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The documents that the sampling keeps, with ``log_weight`` and ``score`` besides their columns in ``doc``."""
+def sampled(docs: DataFrame, labels: DataFrame, keep: float | None = None, seed: int = 0,
+            temperature: float = TEMPERATURE, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """Every document: its columns in ``doc``, ``log_weight``, ``score`` and whether the sampling has ``kept`` it."""
     model = fit(docs, labels, max_labelled)
     least = cutoff(docs, model, keep, seed, temperature)
     packed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
     )
     scored = weigh(packed, model).withColumn("score", _perturbed(seed, temperature))
-    return scored.where(F.col("score") >= least)
+    return scored.withColumn("kept", F.col("score") >= least)
+
+
+def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The documents that the sampling keeps, as rows of ``sampled``."""
+    return sampled(docs, labels, **options).where("kept")
 
 
 def op6_quality_classifier(spark, folder: str) -> DataFrame:
-    kept = resample(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
-    return kept.select("doc_id", "log_weight", F.lit(True).alias("kept"))
+    found = sampled(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+    return found.select("doc_id", "log_weight", "kept")

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from buyerlens.llm import chat_format, decontaminate, exact_dedup, lm_score, ngram_join, packing, quality, secrets
@@ -187,23 +191,75 @@ def test_lm_scores_cover_every_row(docs, empty):
     assert lm_score.lm_scores(empty).count() == 0
 
 
-def test_quality_classifier_parts_held_out_texts(spark):
+def judged_texts():
+    """600 texts, a fifth of them with an insult and a tenth mere repetition; labels of the first 400."""
     rng = random.Random(1)
     word = lambda: f"word{rng.randrange(200)}"
-    rows, labels = [(9000, None), (9001, " ")], []
+    rows, labels = [(9000, None), (9001, " "), (None, "word1 word2")], []
     for i in range(600):
-        toxic = i % 5 == 0
         text = [word() for _ in range(40)]
-        if toxic:
+        if i % 5 == 0:
             text[rng.randrange(40)] = rng.choice(("scum", "idiot"))
+        elif i % 10 == 1:
+            text = ["buy"] * 30
         rows.append((i, " ".join(text)))
         if i < 400:
-            labels.append((i, 1, int(toxic)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in quality.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+            labels.append((i, int(i % 10 != 1), int(i % 5 == 0)))
+    return rows, [*labels, (3, None, None), (4, 1, 0), (None, 1, 1), (7777, 0, 1)]
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_quality_classifier_parts_held_out_texts(spark):
+    rows, labels = judged_texts()
+    docs = spark.createDataFrame([(i, t, 1.0, "x", 2) for i, t in rows], "doc_id long, text string, score double, kept string, doc int")
+    labels = spark.createDataFrame(labels, LABELS)
+    found = quality.sampled(docs, labels).collect()
+    assert len(found) == len(rows) and {r.doc.kept for r in found} == {"x"}
+    kept = {r.doc_id for r in found if r.kept}
     held = range(400, 600)
-    assert sum(i in kept for i in held if i % 5) >= 150 and sum(i in kept for i in held if i % 5 == 0) <= 4
-    assert 9000 not in kept
+    good = [i for i in held if i % 5 and i % 10 != 1]
+    assert sum(i in kept for i in good) >= 0.95 * len(good)
+    assert sum(i in kept for i in held if i % 5 == 0) <= 4 and sum(i in kept for i in held if i % 10 == 1) <= 2
+    assert not {9000, 9001} & kept
+    assert quality.resample(docs, labels).count() == len(kept)
+
+
+def test_quality_weights_follow_the_counts(spark):
+    """The toxic ratio against counts of words in plain Python."""
+    rows, labels = judged_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame(labels, LABELS))
+    words = {i: set((t or "").split()) for i, t in rows}
+    kinds = {i: 2 if toxic else 0 if q else 1 for i, q, toxic in labels if i is not None and q is not None and i != 7777}
+    n = Counter(kinds.values())
+    target, known, raw = (Counter(w for i in ids for w in words[i]) for ids in (
+        [i for i, k in kinds.items() if k == 0], [i for i, k in kinds.items() if k == 2], words))
+    shown = [t for _, t in rows if t and t.strip()]
+    got, _ = model.ratios(pa.array(shown))
+    for text, value in zip(shown, got):
+        want = min(math.log((target[w] + 1) / (0.5 * raw[w] * n[0] / len(rows) + 0.5 * known[w] * n[0] / n[2] + 1)) for w in set(text.split()))
+        assert value == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
+def test_quality_sample_changes_with_the_seed_and_its_size_does_not(spark):
+    rows, labels = judged_texts()
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
+    samples = [{r.doc_id for r in quality.resample(docs, labels, keep=0.4, seed=seed).collect()} for seed in (0, 1)]
+    assert samples[0] != samples[1] and {len(s) for s in samples} == {round(0.4 * len(rows))}
+    cold = [{r.doc_id for r in quality.resample(docs, labels, keep=0.4, seed=s, temperature=0.0).collect()} for s in (0, 1)]
+    assert cold[0] == cold[1]
+
+
+def test_quality_of_nothing(spark):
+    rows, labels = judged_texts()
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
+    assert quality.sampled(docs.limit(0), labels).count() == 0
+    plain = quality.sampled(docs, labels.limit(0)).collect()
+    assert all(r.log_weight == (0.0 if (r.doc.text or "").strip() else quality.EMPTY) for r in plain)
+    twice = quality.sampled(docs.unionByName(docs), labels).groupBy("doc_id", "text").agg(F.count_distinct("kept").alias("n"))
+    assert {r.n for r in twice.collect()} == {1}  # rows that repeat go together
 
 
 def test_kth_largest(spark):
