@@ -8,12 +8,13 @@ expressions. Rules without a literal token run on every address.
 
 Rules are a list written by a person or a configuration; the index is part of the plan
 and ``MAX_RULES`` bounds it. There is no shuffle but the one that counts the
-rules' own tokens, so a host with a third of all pages is no burden.
+rules' own tokens, so a host with a third of all pages is no burden. For more rules there is
+``judged_by_table``: rules as a table, joined with the tokens of the distinct addresses; its results are the same.
 
 Defined results: null urls and urls without ``://`` have empty host and path and
 match no rule, so they get the default verdict. Ties between rules go to the longer
-name, then to the smaller name. Repeated rows are judged alike; other columns pass
-through. An empty table gives no rows.
+name, then to the smaller name. Repeated rows are judged alike. The given columns, whatever
+their names, come back in the struct ``page``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -70,12 +71,13 @@ TOKEN_RULES = tuple(token_rule("block", t) for t in (
 
 
 def with_address(pages: DataFrame, url: str = "url") -> DataFrame:
-    """Adds host and path."""
-    cut = F.instr(F.col(url), "://")
-    rest = F.when(cut > 0, F.expr(f"substring(`{url}`, instr(`{url}`, '://') + 3)")).otherwise(F.lit(""))
-    rest = F.coalesce(rest, F.lit(""))
+    """The given columns as ``page``, host and path."""
+    packed = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("page"))
+    address = F.col("page")[url]
+    cut = F.instr(address, "://")
+    rest = F.coalesce(F.when(cut > 0, F.substr(address, cut + 3)), F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), _UPPER, _LOWER)
-    return pages.withColumns({"host": host, "path": F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)})
+    return packed.withColumns({"host": host, "path": F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)})
 
 
 def _tokens():
@@ -95,9 +97,9 @@ def _quoted(text: str) -> str:
 
 
 def judged(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url: str = "url") -> DataFrame:
-    """Adds host, path, ``matched`` (name of the winning rule or null) and verdict."""
+    """``page`` (the given columns), host, path, ``matched`` (name of the winning rule or null) and verdict."""
     if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the index holds {MAX_RULES}")
+        raise ValueError(f"{len(rules)} rules; the index holds {MAX_RULES}, judged_by_table any number")
     addresses = with_address(pages, url)
     if not rules:
         return addresses.withColumns({"matched": F.lit(None).cast("string"), "verdict": F.lit(default)})
@@ -141,12 +143,44 @@ def judged(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url:
     }).drop("_tokens", "_found", "_best")
 
 
+RULES = "name string, pattern string, verdict string, tokens array<string>, rank int"
+
+
+def judged_by_table(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
+    """As ``judged``, for any number of rules in a table of the columns ``RULES``.
+
+    Rules without tokens still go into the plan, so ``MAX_RULES`` bounds those. Equal addresses are
+    judged once; a token that very many of them have is a skewed join, which Spark splits.
+    """
+    addresses = with_address(pages, url)
+    distinct = addresses.select("host", "path").distinct()
+    tokens = distinct.withColumn("token", F.explode(_tokens())).where("token <> ''")
+    owned = rules.where("SIZE(tokens) > 0").select("*", F.explode("tokens").alias("token"))
+    often = tokens.join(owned.select("token").distinct(), "token").groupBy("token").agg(F.count("*").alias("n"))
+    keyed = owned.join(often, "token", "left").groupBy("name", "pattern", "verdict", "rank").agg(
+        F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
+    # regexp_like with a pattern per row; an address is fetched by the one token of a rule, so once per rule.
+    fits = tokens.join(keyed, "token").where(F.call_function("regexp_like", F.concat("host", "path"), F.col("pattern")))
+    order = F.struct((-F.col("rank")).alias("r"), (-F.length("name")).alias("l"), F.col("name").alias("matched"), F.col("verdict"))
+    best = fits.groupBy("host", "path").agg(F.min(order).alias("by_token"))
+    always = [Rule(r["name"], r["pattern"], r["verdict"], (), r["rank"])
+              for r in rules.where("SIZE(tokens) <= 0 OR tokens IS NULL").limit(MAX_RULES + 1).collect()]
+    other = judged(distinct.select(F.concat(F.lit("x://"), "host", "path").alias("url")), always, "")
+    ranks = {r.name: r.rank for r in always}
+    rank = F.coalesce(*(F.when(F.col("matched") == n, F.lit(k)) for n, k in ranks.items()), F.lit(0)) if ranks else F.lit(0)
+    other = other.where("matched IS NOT NULL").select("host", "path", F.struct(
+        (-rank).alias("r"), (-F.length("matched")).alias("l"), F.col("matched"), F.col("verdict")).alias("by_none"))
+    winners = best.join(other, ["host", "path"], "full").select("host", "path", F.least("by_token", "by_none").alias("best"))
+    return addresses.join(winners, ["host", "path"], "left").select(
+        "page", "host", "path", F.col("best.matched").alias("matched"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+
+
 def op2_url_filter(spark, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     found = judged(pages, HOST_RULES + TOKEN_RULES)
     names = [r.name for r in HOST_RULES]
     return found.select(
-        "page_id", "host", "path", F.when(F.col("matched").isin(names), F.col("matched")).alias("rule"), "verdict"
+        "page.page_id", "host", "path", F.when(F.col("matched").isin(names), F.col("matched")).alias("rule"), "verdict"
     )
 
 

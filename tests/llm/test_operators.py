@@ -288,10 +288,41 @@ def test_url_rules(spark):
         "http://a.net?x": (None, "allow"), "http://x.org/fr/1": ("org/fr/", "allow"), "http://spam-farm.org/": (None, "block"),
         "nourl": (None, "allow"), None: (None, "allow"),
     }
-    frame = spark.createDataFrame([(u, 1) for u in urls], "url string, host int")
+    schema = "url string, host int, path string, matched int, verdict int, page string, _tokens int"
+    frame = spark.createDataFrame([(u, 1, "p", 2, 3, "q", 4) for u in urls] * 2, schema)
     names = {r.name for r in url_filter.HOST_RULES}
-    for r in url_filter.judged(frame.drop("host"), url_filter.HOST_RULES + url_filter.TOKEN_RULES).collect():
-        assert (r.matched if r.matched in names else None, r.verdict) == urls[r.url]
+    found = url_filter.judged(frame, url_filter.HOST_RULES + url_filter.TOKEN_RULES).collect()
+    assert len(found) == 2 * len(urls)
+    for r in found:
+        assert (r.matched if r.matched in names else None, r.verdict) == urls[r.page.url]
+        assert tuple(r.page)[1:] == (1, "p", 2, 3, "q", 4)
+    assert url_filter.judged(frame.limit(0), url_filter.HOST_RULES).count() == 0
+
+
+def test_many_url_rules_as_a_list_and_as_a_table(spark):
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choice("abcde") for _ in range(rng.choice((1, 2, 3))))
+    rules = {r.name: r for r in (url_filter.host_rule(
+        rng.choice(("allow", "block")), ".".join(name() for _ in range(rng.choice((1, 2, 3)))),
+        rng.choice(("/", f"/{name()}", f"/{name()}/"))) for _ in range(600))}
+    rules = [*rules.values(), *(url_filter.token_rule("block", t) for t in ("a", "be", "ccc")),
+             url_filter.Rule("always", "^[^/]*/ab", "block", (), 0)]
+    urls = [f"http://{'.'.join(name() for _ in range(rng.choice((1, 2, 4))))}/{name()}/{name()}" for _ in range(800)]
+    urls += ["https://a.b/" + "long/" * 5000, None, "", "http://", "no url", *urls[:50]]
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+
+    def verdict(u):
+        if not u or "://" not in u:
+            return None, "allow"
+        address = u.split("://", 1)[1]
+        fitting = [r for r in rules if address and re.search(r.pattern, address)]
+        best = min(fitting, key=lambda r: (-r.rank, -len(r.name), r.name), default=None)
+        return (best.name, best.verdict) if best else (None, "allow")
+
+    want = sorted((str(u), *map(str, verdict(u))) for u in urls)
+    as_table = spark.createDataFrame([(r.name, r.pattern, r.verdict, list(r.tokens), r.rank) for r in rules], url_filter.RULES)
+    for found in (url_filter.judged(frame, rules), url_filter.judged_by_table(frame, as_table)):
+        assert sorted((str(r.page.url), str(r.matched), str(r.verdict)) for r in found.collect()) == want
 
 
 def test_secret_scan_held_out(spark):
