@@ -50,6 +50,7 @@ LOST = 3
 EMPTY = -10.0
 _BLOCK = 1 << 14
 _SIZE = 1 << BUCKET_BITS
+_STEP = 1 << 20  # bytes of text that are worked on at once
 _REPEAT = 1  # the bucket of a word followed by itself
 KINDS = ("good", "poor", "toxic", "raw")
 FEATURES = ("documents", "words", "pairs")
@@ -57,7 +58,7 @@ FEATURES = ("documents", "words", "pairs")
 
 def _buckets(column: pa.Array):
     """Per slice of texts: bounds, bucket of each word, and of each word with the next (-1 at the end of a text)."""
-    for w in words_of(column, classes=WORDS_AND_MARKS):
+    for w in words_of(column, classes=WORDS_AND_MARKS, step=_STEP):
         words = (w.hashes >> U(64 - BUCKET_BITS)).astype(np.int64)
         grams, inside = w.grams(2)
         pairs = (grams >> U(64 - BUCKET_BITS)).astype(np.int64)

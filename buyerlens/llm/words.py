@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 20  # of text that is worked on at once; a single longer text is taken whole
+SLICE_BYTES = 2 << 20  # of text that is worked on at once; a single longer text is taken whole
 _BASE = U(0x9E3779B97F4A7C15)
 
 # Classes of bytes: 0 separates, and a word is a run of one class.
@@ -147,8 +147,10 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
     return mix(raw + (ends - starts).astype(U) * _BASE)
 
 
-def words_of(column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS) -> Iterator[Words]:
-    """The words of every text, in slices of whole texts of about ``SLICE_BYTES``; ``lower`` maps A-Z to a-z."""
+def words_of(
+    column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS, step: int = SLICE_BYTES
+) -> Iterator[Words]:
+    """The words of every text, in slices of whole texts of about ``step`` bytes; ``lower`` maps A-Z to a-z."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
@@ -156,7 +158,7 @@ def words_of(column: pa.Array, lower: bool = False, classes: np.ndarray = WORDS)
     offsets, data = text_bytes(column)
     at = 0
     while at < len(column):
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + step, side="right")) - 1
         to = min(max(to, at + 1), len(column))
         yield _slice_words(at, offsets[at: to + 1], data[offsets[at]: offsets[to]], lower, classes)
         at = to
