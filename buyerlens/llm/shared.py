@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.session import shared_folder
+from buyerlens.session import scratch_path
 
 BROADCAST_ROWS = 200_000  # of a few numbers each; a longer side is joined by shuffling
 PARTS_PER_TASK = 1
@@ -22,7 +20,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as parquet in the shared folder: lineage ends here, and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
