@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
-import uuid
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
@@ -26,7 +25,7 @@ from buyerlens.operators.sequence import order_sequence
 from buyerlens.plans import features as plans
 from buyerlens.plans import quality, refresh, reports, rollups
 from buyerlens.plans.build import FEATURE_TABLES, clean_tables, feature_store, features_of, publish_view
-from buyerlens.session import shared_folder
+from buyerlens.session import scratch_path
 from buyerlens.sources import csv
 from buyerlens.sources.schemas import TABLES
 from buyerlens.sources.standin import AS_OF, BASKET_BIN, BASKET_CAP, RISK_SPEND, before_and_delivery, damaged_tables, standin_table, standin_tables
@@ -59,13 +58,21 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*(convert(f) for f in df.schema))
 
 
+def _cleaned(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables as an import and the cleaning leave them: of each review the newest version."""
+    found = clean_tables(spark, tables)
+    if "order_reviews" in found:
+        found["order_reviews"] = csv.latest_reviews(found["order_reviews"])
+    return found
+
+
 class _Tables(dict):
     """Stand-in tables, each built when a query asks for it."""
 
     def __init__(self, spark: SparkSession, folder: str, cleaned: bool = False):
         super().__init__()
         self._build = lambda name: standin_table(spark, folder, name)
-        self._finish = (lambda t: clean_tables(spark, t)) if cleaned else (lambda t: t)
+        self._finish = (lambda t: _cleaned(spark, t)) if cleaned else (lambda t: t)
 
     def __missing__(self, name: str) -> DataFrame:
         self.update(self._finish({name: self._build(name)}))
@@ -90,14 +97,14 @@ def _amounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, folder: str):
-    store = feature_store(spark, f"{shared_folder(spark)}/features-{uuid.uuid4().hex}")
+    store = feature_store(spark, scratch_path(spark, "features"))
     store.publish(_features(spark, folder))
     return store
 
 
 def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
     """Features as of a month earlier, refreshed to the current date."""
-    store = feature_store(spark, f"{shared_folder(spark)}/features-{uuid.uuid4().hex}")
+    store = feature_store(spark, scratch_path(spark, "features"))
     for as_of in (AS_OF - dt.timedelta(days=30), AS_OF):
         store.publish(features_of(_clean(spark, folder), as_of))
     return store.read()
@@ -105,8 +112,8 @@ def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _folded(spark: SparkSession, folder: str) -> DataFrame:
     """Features after a delivery of new and corrected rows was folded into the state before it."""
-    before, delivery = (clean_tables(spark, t) for t in before_and_delivery(spark, folder))
-    store = refresh.state_store(spark, f"{shared_folder(spark)}/state-{uuid.uuid4().hex}")
+    before, delivery = (_cleaned(spark, t) for t in before_and_delivery(spark, folder))
+    store = refresh.state_store(spark, scratch_path(spark, "state"))
     refresh.publish_state(store, before)
     refresh.refresh_state(store, before, delivery)
     return refresh.read_features(store, AS_OF)
@@ -144,7 +151,7 @@ def _review_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _through_csv(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Write a table the way it is delivered and import it."""
-    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "csv")
     path = f"{folder}/delivered"
     writer = df.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
     writer.csv(path, header=True, quote='"', escape='"', emptyValue='""', nullValue="")
@@ -186,7 +193,7 @@ def _extended_translations(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fan_out(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Features and customers when each person holds three accounts."""
-    tables = clean_tables(spark, standin_tables(spark, folder, FEATURE_TABLES, accounts_per_person=3))
+    tables = _cleaned(spark, standin_tables(spark, folder, FEATURE_TABLES, accounts_per_person=3))
     return features_of(tables, AS_OF), tables["customers"]
 
 
@@ -211,7 +218,7 @@ _ROW_KEYS = {t.name: [k for k in t.primary_key] for t in TABLES.values()}
 
 def _set_aside(spark: SparkSession, folder: str) -> DataFrame:
     """Key and broken rules of every row that the quarantine sets aside."""
-    _, aside = integrity.quarantine(damaged_tables(spark, folder), f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}")
+    _, aside = integrity.quarantine(damaged_tables(spark, folder), scratch_path(spark, "quarantine"))
     parts = [
         df.select(
             F.lit(name).alias("table_name"),
@@ -225,7 +232,7 @@ def _set_aside(spark: SparkSession, folder: str) -> DataFrame:
 
 def _kept_by_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each table that the quarantine lets pass."""
-    sound, _ = integrity.quarantine(damaged_tables(spark, folder), f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}")
+    sound, _ = integrity.quarantine(damaged_tables(spark, folder), scratch_path(spark, "quarantine"))
     return quality.row_counts(sound)
 
 
@@ -241,9 +248,6 @@ def _raw_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
         "order_sequence": lambda t: order_sequence(
             plans.order_amounts(t["customers"], t["orders"], t["order_items"])
         ),
-        "features_satisfaction": lambda t: plans.features_satisfaction(
-            t["customers"], t["orders"], t["order_reviews"]
-        ),
     }
 
 
@@ -254,6 +258,9 @@ def _clean_queries() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
         "untranslated_categories": lambda t: quality.untranslated_categories(
             t["products"], _with_gap(t["product_category_translation"])
         ),
+        "features_satisfaction": lambda t: plans.features_satisfaction(
+            t["customers"], t["orders"], t["order_reviews"]
+        ),
         "features_diversity": lambda t: plans.features_diversity(
             t["customers"], t["orders"], t["order_items"], t["products"]
         ),
@@ -283,7 +290,7 @@ def _feature_queries() -> dict[str, Callable[[DataFrame], DataFrame]]:
 def _rollup(spark: SparkSession, folder: str) -> DataFrame:
     """The roll-up published beside the features."""
     cuts = rollups.Cuts(basket_cap=BASKET_CAP, basket_bin=BASKET_BIN, risk_spend=RISK_SPEND)
-    root = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "rollup")
     store, sums = feature_store(spark, f"{root}/features"), VersionedTable(spark, f"{root}/sums", rollups.KEY)
     return rollups.publish_with_rollup(store, sums, _features(spark, folder), cuts)
 

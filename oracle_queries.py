@@ -134,7 +134,7 @@ opinion AS (
     SELECT customer_unique_id, sum(score) AS score_sum, count(score) AS score_count,
            count(*) FILTER (WHERE score <= 2) AS negatives
     FROM done LEFT JOIN (
-        SELECT l_orderkey AS order_id, CAST(l_linenumber % 5 + 1 AS INTEGER) AS score FROM lineitem
+        SELECT DISTINCT l_orderkey AS order_id, l_linenumber, CAST(l_linenumber % 5 + 1 AS INTEGER) AS score FROM lineitem
     ) AS scores USING (order_id)
     GROUP BY customer_unique_id
 ),
@@ -357,7 +357,7 @@ TOTALS = {
     "total_customers": "customer",
     "total_orders": "orders",
     "total_order_items": "lineitem",
-    "total_reviews": "lineitem",
+    "total_reviews": "(SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)",
     "total_products": "part",
     "delivered_orders": "orders WHERE o_orderstatus = 'F'",
 }
