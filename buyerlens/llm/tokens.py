@@ -5,7 +5,7 @@ run of letters and a run of ASCII punctuation. Texts are therefore cut at white
 and at such borders, apart from those at an apostrophe (contractions) or a character
 that may combine, and each piece is looked up in a table of pieces already encoded.
 Texts that spell a special token are encoded whole. The ids are those of encoding the
-text in one go; tests hold this on whole tables.
+text in one go.
 """
 
 from __future__ import annotations
