@@ -50,7 +50,7 @@ STAGES = [
     ("packing", packed_sequences),
 ]
 
-#: Models, token ids and components are beyond SQL: tests hold the stages against brute force.
+#: Models, token ids and components are beyond SQL: a test states what each stage has to keep of a small corpus.
 ORACLE_SQL = None
 
 
