@@ -38,7 +38,8 @@ BLOCK = 16
 K1, B = 1.2, 0.75
 _SHORTEST = 32
 _LEVEL = 1 - 1e-9  # scores are shares of an item's level
-_AT_ONCE = 1 << 20  # words of passages that are looked up at once
+_AT_ONCE = 1 << 17  # words of passages that are looked up at once
+_STEP = 1 << 20  # bytes of text that are worked on at once
 _SEEN_BITS = 16
 _SEEN_MASK = U((1 << _SEEN_BITS) - 1)
 
@@ -218,7 +219,7 @@ def item_rounds(benchmark: DataFrame, overlap: float = OVERLAP, max_items: int =
 def _best(index: Index, column: pa.Array):
     """(text, group, item) -> best (score, question, answer) over the passages of a text."""
     best: dict[tuple, tuple] = {}
-    for w in words_of(column, True, PLAIN_WORDS):
+    for w in words_of(column, True, PLAIN_WORDS, _STEP):
         for row, g, item, *values in index.matches(w):
             key = (w.first + row, g, item)
             best[key] = max(best.get(key, (0.0, 0.0, 0.0)), tuple(values))

@@ -47,6 +47,7 @@ SKETCH_BITS = 18
 SKETCH_BLOCK = 1 << 14
 RESIDUE_BITS = 40
 FLUSH = 1 << 20  # shingles that a task gathers before it hands them on
+_STEP = 1 << 20  # bytes of text that are worked on at once
 GROUPS = 8
 PICKS = 4
 BITMAP_WORDS = 8
@@ -72,7 +73,7 @@ def _profile(n: int, lower: bool):
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             ids = batch.column(0)
-            for w in words_of(batch.column(1), lower):
+            for w in words_of(batch.column(1), lower, step=_STEP):
                 values, at = shingles(w, n)
                 counts += np.bincount((values >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
                 rows = len(at) - 1
@@ -144,7 +145,7 @@ def _deal(n: int, lower: bool, n_parts: int, frequent: np.ndarray):
         for batch in batches:
             known: set[int] = set()
             held, waiting = [], 0
-            for w in words_of(batch.column(0), lower):
+            for w in words_of(batch.column(0), lower, step=_STEP):
                 values, at = shingles(w, n)
                 own = _set_keys(values, at)
                 size = np.diff(at)
