@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ CSV_OPTIONS = {
     "mode": "FAILFAST",
     "enforceSchema": "false",
 }
+SPLITS = "file string, block long, split long, odd long, begun_0 long, begun_1 long"
+PIECES = "file string, block long, record long, text string"
 _RECORD_OPTIONS = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "enforceSchema")}
 
 
@@ -41,42 +46,109 @@ def read_csv(spark: SparkSession, table: Table, path: str | list[str], multiline
     return spark.read.schema(table.schema).options(**CSV_OPTIONS).csv(path)
 
 
+def _runs(split: np.ndarray):
+    """First and next row of each stretch of one split."""
+    cuts = np.concatenate(([0], np.flatnonzero(split[1:] != split[:-1]) + 1, [len(split)]))
+    return zip(cuts[:-1].tolist(), cuts[1:].tolist())
+
+
+def _split_quotes(batches):
+    """Of each split whether its quotes are odd in number, and how many records begin in it if it begins outside quotes, and if inside."""
+    found = None
+    for batch in batches:
+        split, odd = (batch.column(k).to_numpy() for k in (2, 3))
+        for a, b in _runs(split) if len(split) else ():
+            if found is None or found[2] != split[a]:
+                if found:
+                    yield pa.RecordBatch.from_pylist([dict(zip(_names(SPLITS), found))], _SPLITS)
+                found = [batch.column(0)[a].as_py(), batch.column(1)[a].as_py(), int(split[a]), 0, 0, 0]
+            inside = (found[3] + np.cumsum(odd[a:b]) - odd[a:b]) % 2
+            begun = int(np.count_nonzero(inside))
+            found[3] = int((inside[-1] + odd[b - 1]) % 2)
+            found[4] += b - a - begun
+            found[5] += begun
+    if found:
+        yield pa.RecordBatch.from_pylist([dict(zip(_names(SPLITS), found))], _SPLITS)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+_SPLITS = pa.schema([("file", pa.string()), *((n, pa.int64()) for n in _names(SPLITS)[1:])])
+
+
+def _put_together(crossing: bool):
+    """Records from lines: those that begin and end in a split, or with ``crossing`` the pieces of the others."""
+    def rows(file, block, record, texts) -> pa.RecordBatch:
+        n = len(texts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([file] * n, pa.string()), pa.array([block] * n, pa.int64()), pa.array(record, pa.int64()), texts.cast(pa.string())],
+            names=_names(PIECES))
+
+    def run(batches):
+        now = None  # split, file, block
+        inside = record = 0
+        held, entered = [], False  # lines of the record that is being read, and whether it began in a split before
+
+        def finished(crosses: bool):
+            if held and crosses == crossing:
+                yield rows(now[1], now[2], [record], pa.array(["\n".join(x for h in held for x in h.to_pylist())], pa.string()))
+
+        for batch in batches:
+            split, odd, begins, before = (batch.column(k).to_numpy() for k in (2, 3, 4, 5))
+            for a, b in _runs(split) if len(split) else ():
+                if now is None or now[0] != split[a]:
+                    yield from finished(entered or inside == 1)
+                    now = (split[a], batch.column(0)[a].as_py(), batch.column(1)[a].as_py())
+                    inside, record = int(begins[a]), int(before[a])
+                    held, entered = [], inside == 1
+                within = (inside + np.cumsum(odd[a:b]) - odd[a:b]) % 2
+                first = np.flatnonzero(within == 0)
+                lines = batch.column(6).slice(a, b - a)
+                inside = int((within[-1] + odd[b - 1]) % 2)
+                if not len(first):
+                    held.append(lines)
+                    continue
+                if first[0]:
+                    held.append(lines.slice(0, first[0]))
+                yield from finished(entered)
+                if len(first) > 1 and not crossing:
+                    whole = lines.slice(first[0], first[-1] - first[0])
+                    ends = pa.array(first - first[0], pa.int32() if pa.types.is_string(lines.type) else pa.int64())
+                    kind = pa.ListArray if pa.types.is_string(lines.type) else pa.LargeListArray
+                    texts = whole if len(whole) == len(first) - 1 else pc.binary_join(kind.from_arrays(ends, whole), "\n")
+                    yield rows(now[1], now[2], record + 1 + np.arange(len(first) - 1), texts)
+                record += len(first)
+                held, entered = [lines.slice(first[-1])], False
+        yield from finished(entered or inside == 1)
+
+    return run
+
+
 def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, record, text) of every CSV record; line breaks inside quotes belong to the record.
 
     Spark's own reader takes a file with such breaks in one task. Here files are
     split into lines as any text. A line is inside quotes if an odd number of quotes came before it in its
     file, and doubled quotes do not change that; so each split needs from those before it only
-    the parity of their quotes and the number of records begun, in one row per split. Records within a split
-    are put together where the split is; only those that cross into the next one meet by a shuffle.
+    the parity of their quotes and the number of records begun, in one row per split, broadcast. Records within a split
+    are put together where the split is read; only pieces of those that cross into the next one meet by a shuffle.
     """
+    odd = F.expr("(LENGTH(value) - LENGTH(REPLACE(value, '\"', ''))) % 2").cast("long")
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    odd = F.expr("(LENGTH(value) - LENGTH(REPLACE(value, '\"', ''))) % 2")
-    by_line = Window.partitionBy("file", "block").orderBy("line")
-    # Inside quotes or not, had the split begun outside; the other case is the opposite.
-    counted = lines.withColumn("odd", odd).withColumn(
-        "inside", (F.sum("odd").over(by_line) - F.col("odd")) % 2)
-    splits = counted.groupBy("file", "block").agg(
-        (F.sum("odd") % 2).alias("odd"), F.count_if(F.col("inside") == 0).alias("begun_0"),
-        F.count_if(F.col("inside") == 1).alias("begun_1"))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+    ).withColumn("split", F.xxhash64("file", "block"))
+    splits = lines.select("file", "block", "split", odd.alias("odd")).mapInArrow(_split_quotes, SPLITS)
     by_split = Window.partitionBy("file").orderBy("block")
     splits = splits.withColumn("entered", (F.sum("odd").over(by_split) - F.col("odd")) % 2)
     begun = F.when(F.col("entered") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
-    splits = splits.withColumn("before", F.sum(begun).over(by_split) - begun).select("file", "block", "entered", "before")
-    starts = (F.col("inside") == F.col("entered")).cast("bigint")
-    numbered = counted.join(splits, ["file", "block"]).select(
-        "file", "block", "line", "value", "before", (F.col("before") + F.sum(starts).over(by_line)).alias("record"))
-    pieces = numbered.groupBy("file", "block", "record", "before").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), "\n").alias("text"))
-    # The first piece of a split may go on with a record of the split before, and its last record may go on.
-    last = F.max("record").over(Window.partitionBy("file", "block"))
-    pieces = pieces.withColumn("edge", (F.col("record") <= F.col("before") + 1) | (F.col("record") == last))
-    crossing = pieces.where("edge").groupBy("file", "record").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    return pieces.where("NOT edge").select("file", "record", "text").unionByName(crossing)
+    splits = splits.withColumn("before", F.sum(begun).over(by_split) - begun).select("split", "entered", "before")
+    known = lines.join(F.broadcast(splits), "split").select("file", "block", "split", odd.alias("odd"), "entered", "before", "value")
+    pieces = known.mapInArrow(_put_together(True), PIECES)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda x: x["text"]), "\n")
+    crossing = pieces.groupBy("file", "record").agg(text.alias("text"))
+    return known.mapInArrow(_put_together(False), PIECES).select("file", "record", "text").unionByName(crossing)
 
 
 def read_records(spark: SparkSession, table: Table, path: str | list[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -174,3 +175,45 @@ def test_line_breaks_in_other_tables_can_be_allowed(spark, deliver, tmp_path):
 
 def test_a_file_without_records(spark, deliver):
     assert load_table(spark, "order_reviews", deliver("order_reviews", "")).count() == 0
+
+
+@pytest.mark.parametrize("size", ["40", "150", "1g"])
+@pytest.mark.parametrize("rows_at_once", [2, 10_000])
+def test_records_cross_splits_and_batches(spark, tmp_path, size, rows_at_once):
+    """Records over several splits and batches, at the first and last line of a file, and files that end inside quotes."""
+    bodies = {
+        "a.csv": 'h\n"' + "\n".join(f"line {k}" for k in range(40)) + '"\nx\n\n"\n"\ny,"a ""b""\n"',
+        "b.csv": '"two\nlines",h\n' + "".join(f'{k},"p""\nq"\n' for k in range(30)),
+        "c.csv": "h\n" + "plain\n" * 50 + 'open "\nand\nnever closed',
+        "d.csv": '"' + "\n" * 60 + '"',
+    }
+    expected = []
+    for name, body in bodies.items():
+        (tmp_path / name).write_text(body)
+        records, inside = [], False
+        for line in body.removesuffix("\n").split("\n"):
+            if inside:
+                records[-1] += "\n" + line
+            else:
+                records.append(line)
+            inside ^= line.count('"') % 2 == 1
+        expected += [(name, k, text) for k, text in enumerate(records, 1)]
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1",
+                "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_at_once)}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = csv_records(spark, str(tmp_path)).collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted((r.file.rsplit("/", 1)[1], r.record, r.text) for r in found) == sorted(expected)
+
+
+def test_lines_are_not_shuffled(spark, deliver):
+    """Only splits, as one row each, and pieces of records that cross splits are dealt out."""
+    path = deliver("order_reviews", review_text(50))
+    plan = read_csv(spark, TABLES["order_reviews"], path)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    keys = {tuple(k.split("#")[0].strip() for k in x.split(",") if "#" in k) for x in dealt}
+    assert keys == {("file",), ("file", "record")}
