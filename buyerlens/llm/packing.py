@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from buyerlens.llm.shared import shuffle_partitions, table, written
 from buyerlens.llm.tokens import tokenizer
+from buyerlens.llm.words import release_memory
 
 OPEN = 16
 FAN_IN = 64
@@ -124,6 +125,7 @@ class Packer:
 
 def _pack_texts(path: str, end_id: int, size: int, with_ids: bool):
     def run(batches):
+        release_memory()
         packer = Packer(size, 0, TaskContext.get().partitionId(), with_ids)
         for batch in batches:
             ids = batch.column(0).to_pylist()

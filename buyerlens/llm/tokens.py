@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from buyerlens.llm.words import SLICE_BYTES, U, WORDS, hash_runs, inner_borders, text_bytes
+from buyerlens.llm.words import U, WORDS, hash_runs, inner_borders, release_memory, text_bytes
 
+STEP = 1 << 19  # bytes of text that are encoded at once; a single longer text is taken whole
 TABLE_BITS = 21
 MAX_PIECES = 1 << 20  # the table is emptied when it holds this many
 
@@ -86,10 +87,11 @@ class PieceTokenizer:
         offsets, data = text_bytes(column)
         at = 0
         while at < len(column):
-            to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+            to = int(np.searchsorted(offsets, offsets[at] + STEP, side="right")) - 1
             to = min(max(to, at + 1), len(column))
             yield at, *self._slice(offsets[at: to + 1] - offsets[at], data[offsets[at]: offsets[to]])
             at = to
+        release_memory()
 
     def _slice(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
