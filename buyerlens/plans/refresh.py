@@ -79,16 +79,18 @@ def read_features(store: VersionedTable, as_of: dt.date = AS_OF) -> DataFrame:
 
 
 def _changed_orders(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame], delivery: Mapping[str, DataFrame]) -> DataFrame:
-    """(order_id, corrected) of all orders that a delivery has something of; not corrected: all of it is new."""
+    """(order_id, corrected) of all orders that a delivery has something of; not corrected: all of it is new.
+
+    The reviews in ``before`` are those that delivered ones replace.
+    """
     found = []
     if "orders" in delivery:
         found.append(delivery["orders"].select("order_id"))
     if "order_items" in delivery:
         found.append(delivery["order_items"].select("order_id"))
     if "order_reviews" in delivery:
-        reviews = delivery["order_reviews"].select("order_id", "review_id")
-        moved = before["order_reviews"].join(reviews.select("review_id"), "review_id", "left_semi")
-        found += [reviews.select("order_id"), moved.select("order_id")]
+        reviews = delivery["order_reviews"]
+        found += [reviews.select("order_id"), before["order_reviews"].select("order_id")]
     if "customers" in delivery:
         accounts = delivery["customers"].select("customer_id").distinct()
         found += [t["orders"].join(accounts, "customer_id", "left_semi").select("order_id") for t in (before, after)]
@@ -108,6 +110,27 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _met_once(tables: Mapping[str, DataFrame], after: Mapping[str, DataFrame],
+              delivery: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
+    """The same tables, with what a refresh needs of orders and reviews written where it is needed several times.
+
+    Orders after the delivery are read by several steps, and so are the reviews, of which those before
+    the delivery meet the delivered ones once and are told apart by that.
+    """
+    tables, after, delivery = dict(tables), dict(after), dict(delivery)
+    if "orders" in delivery:
+        after["orders"] = _written(after["orders"].select(
+            "order_id", "customer_id", "order_status", "order_purchase_timestamp"), "orders-after")
+    if "order_reviews" in delivery:
+        columns = ["review_id", "order_id", "review_score"]
+        new = _written(delivery["order_reviews"].select(*columns), "reviews-new")
+        ids = new.select("review_id", F.lit(True).alias("replaced")).distinct()
+        old = _written(tables["order_reviews"].select(*columns).join(ids, "review_id", "left"), "reviews-before")
+        delivery["order_reviews"], tables["order_reviews"] = new, old.where("replaced").select(*columns)
+        after["order_reviews"] = old.where("replaced IS NULL").select(*columns).unionByName(new)
+    return tables, after, delivery
+
+
 def refresh_state(store: VersionedTable, tables: Mapping[str, DataFrame], delivery: Mapping[str, DataFrame],
                   segments: int | None = None) -> int:
     """Bring the state up to date with a delivery; ``tables`` are those before it.
@@ -123,6 +146,7 @@ def refresh_state(store: VersionedTable, tables: Mapping[str, DataFrame], delive
     if not delivery:
         return store.publish(store.read(), notes, segments)
 
+    tables, after, delivery = _met_once(tables, after, delivery)
     changed = _written(_changed_orders(tables, after, delivery), "changed-orders")
     owners = [
         changed.join(t["orders"].select("order_id", "customer_id"), "order_id").join(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from buyerlens.operators import categories
 from buyerlens.plans import refresh
 from buyerlens.plans.build import FEATURE_TABLES
+from buyerlens.plans.features import AS_OF
 from buyerlens.sources.schemas import TABLES
 
 NAMES = list(FEATURE_TABLES)
@@ -131,3 +132,19 @@ def test_upsert_replaces_by_key(spark):
     new = spark.createDataFrame([("o", 2, "c"), ("q", 1, "d")], "order_id string, order_item_id int, v string")
     found = refresh.upserted(rows_, new, TABLES["order_items"].primary_key).collect()
     assert sorted(map(tuple, found)) == [("o", 1, "a"), ("o", 2, "c"), ("q", 1, "d")]
+
+
+def test_reviews_before_a_delivery_are_computed_once(spark, store, tables):
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    reviews = tables["order_reviews"]
+    watched = dict(tables, order_reviews=reviews.mapInArrow(count, reviews.schema))
+    delivery = joined(new_order(tables), {"order_reviews": rows(reviews, "order_id LIKE 'o02%'", "CAST(1 AS SMALLINT) AS review_score")})
+    refresh.refresh_state(store, watched, delivery)
+    assert counted.value == reviews.count()
+    assert refresh.refreshed_equals_full(store, refresh.merged_tables(tables, delivery), AS_OF)
