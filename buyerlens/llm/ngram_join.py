@@ -35,19 +35,24 @@ rows. Texts of any length are taken whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.llm.shared import block_rows, components, dealt, from_planes, parts, planes, shuffle_partitions, sum_of_blocks, table, written
-from buyerlens.llm.words import U, mix, shingles, words_of
+from buyerlens.llm.words import U, mix, release_memory, shingles, words_of
 
 SKETCH_BITS = 18
 SKETCH_BLOCK = 1 << 14
 RESIDUE_BITS = 40
-FLUSH = 1 << 20  # shingles that a task gathers before it hands them on
-_STEP = 1 << 20  # bytes of text that are worked on at once
+FLUSH = 1 << 18  # shingles that a task gathers before it hands them on
+AT_ONCE = 1 << 18  # shingles of a part that are sorted at once, about
+_STEP = 1 << 18  # bytes of text that are worked on at once
 GROUPS = 8
 PICKS = 4
 BITMAP_WORDS = 8
@@ -172,24 +177,35 @@ def _shared_tokens(n_parts: int):
     """Of each part, the shingles that more than one set has, with the number of sets."""
     names = [x.split()[0] for x in SHARED.split(", ")]
 
-    def count(part: int, rows: list[tuple]):
-        if part >= n_parts:
-            for keys, sizes, _, tokens, many in rows:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.frombuffer(keys, dtype=np.int64)), pa.array(np.frombuffer(sizes, dtype=np.int32)),
-                    pa.array(np.frombuffer(many, dtype=np.int64) + LATE), pa.array(np.frombuffer(tokens, dtype=np.int64)),
-                ], names=names)
-            return
-        keys, sizes, residues = [], [], []
-        for key, size, run, low, high in rows:
-            run = from_planes(run, 4)
-            keys.append(np.repeat(np.frombuffer(key, dtype=np.int64), run))
-            sizes.append(np.repeat(from_planes(size, 4).astype(np.int32), run))
-            residues.append(
-                np.frombuffer(low, dtype=np.uint32).astype(np.int64)
-                | (np.frombuffer(high, dtype=np.uint8).astype(np.int64) << 32)
-            )
-        keys, sizes, residues = np.concatenate(keys), np.concatenate(sizes), np.concatenate(residues)
+    def frequent(rows: Iterator[tuple]):
+        for _, keys, sizes, _, tokens, many in rows:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.frombuffer(keys, dtype=np.int64)), pa.array(np.frombuffer(sizes, dtype=np.int32)),
+                pa.array(np.frombuffer(many, dtype=np.int64) + LATE), pa.array(np.frombuffer(tokens, dtype=np.int64)),
+            ], names=names)
+
+    def count(part: int, rows: Iterator[tuple]):
+        keys, sizes, runs, low, high = [], [], [], [], []
+        for _, key, size, run, four, fifth in rows:
+            keys.append(np.frombuffer(key, dtype=np.int64))
+            sizes.append(from_planes(size, 4).astype(np.int32))
+            runs.append(from_planes(run, 4).astype(np.int32))
+            low.append(np.frombuffer(four, dtype=np.uint32))
+            high.append(np.frombuffer(fifth, dtype=np.uint8))
+        keys, sizes = np.concatenate(keys), np.concatenate(sizes)
+        low, high = np.concatenate(low), np.concatenate(high)
+        owners = np.repeat(np.arange(len(keys), dtype=np.int32), np.concatenate(runs))
+        # The shingles are taken by ranges of their upper bits, each small enough to be sorted in little memory.
+        ends = np.cumsum(np.bincount(high, minlength=256))
+        first, done = 0, 0
+        while first < 256:
+            to = max(first + 1, int(np.searchsorted(ends, done + AT_ONCE, side="right")))
+            own = np.flatnonzero((high >= first) & (high < to))
+            residues = low[own].astype(np.int64) | (high[own].astype(np.int64) << 32)
+            yield from shared(part, keys, sizes, owners[own], residues)
+            first, done = to, int(ends[to - 1])
+
+    def shared(part: int, keys: np.ndarray, sizes: np.ndarray, owners: np.ndarray, residues: np.ndarray):
         order = np.argsort(residues)
         sorted_ = residues[order]
         same = sorted_[1:] == sorted_[:-1]
@@ -197,35 +213,30 @@ def _shared_tokens(n_parts: int):
         twice[1:] |= same
         twice[:-1] |= same
         kept = order[twice]
-        keys, sizes, residues = keys[kept], sizes[kept], residues[kept]
-        order = np.lexsort((keys, residues))
-        keys, sizes, residues = keys[order], sizes[order], residues[order]
-        new = np.ones(len(keys), dtype=bool)
-        new[1:] = (residues[1:] != residues[:-1]) | (keys[1:] != keys[:-1])
-        keys, sizes, residues = keys[new], sizes[new], residues[new]
-        if not len(keys):
+        owners, residues = owners[kept], residues[kept]
+        own, sizes = keys[owners], sizes[owners]
+        order = np.lexsort((own, residues))
+        own, sizes, residues = own[order], sizes[order], residues[order]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = (residues[1:] != residues[:-1]) | (own[1:] != own[:-1])
+        own, sizes, residues = own[new], sizes[new], residues[new]
+        if not len(own):
             return
         starts = np.concatenate(([0], np.flatnonzero(np.diff(residues)) + 1))
-        run = np.diff(np.concatenate((starts, [len(keys)])))
+        run = np.diff(np.concatenate((starts, [len(own)])))
         df = np.repeat(run, run)
         kept = df > 1
         if kept.any():
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys[kept]), pa.array(sizes[kept]), pa.array(df[kept].astype(np.int64)),
+                pa.array(own[kept]), pa.array(sizes[kept]), pa.array(df[kept].astype(np.int64)),
                 pa.array((np.int64(part) << RESIDUE_BITS) | residues[kept]),
             ], names=names)
 
     def run(batches):
-        part, rows = None, []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != part:
-                    if rows:
-                        yield from count(part, rows)
-                    part, rows = row[0], []
-                rows.append(row[1:])
-        if rows:
-            yield from count(part, rows)
+        rows = (tuple(c[k].as_py() for c in batch.columns) for batch in batches for k in range(batch.num_rows))
+        for part, own in groupby(rows, itemgetter(0)):
+            yield from count(part, own) if part < n_parts else frequent(own)
+        release_memory()
 
     return run
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.llm.shared import shuffle_partitions, table, written
-from buyerlens.llm.tokens import tokenizer
+from buyerlens.llm.tokens import forget, tokenizer
 from buyerlens.llm.words import release_memory
 
 OPEN = 16
@@ -136,6 +136,8 @@ def _pack_texts(path: str, end_id: int, size: int, with_ids: bool):
                 yield from packer.batches(2000)
         packer.leave_open()
         yield from packer.batches(1)
+        forget()
+        release_memory()
 
     return run
 

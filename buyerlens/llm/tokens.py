@@ -152,7 +152,12 @@ _loaded: dict[str, PieceTokenizer] = {}
 
 
 def tokenizer(path: str) -> PieceTokenizer:
-    """The tokenizer of this Python worker, which keeps its table from task to task."""
+    """The tokenizer of this Python worker, which keeps its table until ``forget``."""
     if path not in _loaded:
         _loaded[path] = PieceTokenizer(path)
     return _loaded[path]
+
+
+def forget() -> None:
+    """Give up the tokenizers of this worker: it lives on in stages that have no use for their tables."""
+    _loaded.clear()
